@@ -1,0 +1,24 @@
+"""Size-checked broadcast for small lookup frames."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest lookup (in rows) that is shipped to every executor.
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``small`` as a broadcast relation if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows of ``small`` (a ``limit``
+    job over an aggregate is cheap) and, when the bound holds, reuses exactly
+    those rows, so the lookup is computed once. Beyond the bound ``small`` is
+    returned as is and the join becomes a shuffle join, where AQE's skew
+    handling splits oversized partitions.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return small
+    spark = small.sparkSession
+    return F.broadcast(spark.createDataFrame(rows, small.schema))

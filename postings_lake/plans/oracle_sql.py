@@ -1,11 +1,197 @@
-"""Oracle SQL text per registered query key (DuckDB dialect)."""
+"""Oracle SQL text per registered query key (DuckDB dialect).
+
+Order is not compared by the driver, so ``order by`` appears only where it
+selects rows (top-k, preview); ordering itself is covered by unit tests.
+"""
 from __future__ import annotations
 
-from postings_lake.plans.oracles import with_cur
+import datetime as dt
+
+from postings_lake.operators import explore
+from postings_lake.plans import registry as R
+from postings_lake.plans.oracles import _q, curated_ctes, skills_list_sql, with_cur
+
+_PAGES = """
+pg as (
+  select case o_custkey % 4 when 0 then 'gb' when 1 then 'de' when 2 then 'nl' else 'fr' end as country,
+    cast(o_orderkey % 1000 as bigint) as page,
+    (o_orderkey % 1000 >= 700 + 50 * (o_custkey % 4) and o_orderkey % 7 = 0) as empty,
+    o_orderkey, o_custkey, o_orderstatus
+  from orders
+)"""
+
+_KEPT = f"""with {_PAGES},
+first_empty as (
+  select country, min(page) as fe from pg where empty and page <= {R.ORACLE_MAX_PAGES} group by country
+),
+kept as (
+  select pg.* from pg left join first_empty using (country)
+  where page <= {R.ORACLE_MAX_PAGES} and (fe is null or page < fe)
+)"""
+
+_AS_OF = "'2026-06-24T00:00:00Z'"
+
+
+def _d(x: dt.date) -> str:
+    return f"date '{x.isoformat()}'"
+
+
+def _search_where(spec: explore.SearchSpec) -> str:
+    conds = []
+    if spec.countries:
+        conds.append("country_code in (" + ", ".join(_q(c) for c in spec.countries) + ")")
+    if spec.cities:
+        conds.append("city in (" + ", ".join(_q(c) for c in spec.cities) + ")")
+    like = lambda col, t: f"contains(lower(coalesce({col}, '')), {_q(t)})"
+    if spec.role.strip():
+        conds.append(like("title", spec.role.strip().lower()))
+    if spec.location.strip():
+        t = spec.location.strip().lower()
+        conds.append("(" + " or ".join(like(c, t) for c in ("city", "region", "location_display", "country_code")) + ")")
+    if spec.seniority != explore.ALL_LEVELS:
+        conds.append(f"seniority = {_q(spec.seniority)}")
+    if spec.keyword.strip():
+        t = spec.keyword.strip().lower()
+        skills_text = "'[' || array_to_string(skills, ', ') || ']'"
+        conds.append(f"title is not null and ({like('title', t)} or {like('company', t)} or {like(skills_text, t)})")
+    lo, hi = spec.posted
+    conds.append(f"posted_date between {_d(lo)} and {_d(hi)}")
+    return " and ".join(conds)
+
+
+_SEARCH_COLS = ", ".join(R._SEARCH_COLS)
+
+_FLAT19 = (
+    "source_name, source_id, title, company, country_code, city, region, location_display, category, "
+    "contract_time, seniority, posted_date, array_to_string(skills, ',') as skills, "
+    "array_to_string(clouds, ',') as clouds, skill_count, salary_min, salary_max, redirect_url, ingested_at"
+)
+
+_DOC_CUR = f"""with docs as (
+  select source as source_name, cast(doc_id as varchar) as source_id, lower(trim(lang, ' ')) as country_code,
+    {skills_list_sql("text", R.DOCUMENT_TAXONOMY)} as skills,
+    row_number() over (partition by source, cast(doc_id as varchar) order by text nulls first) as rn
+  from documents where doc_id is not null
+)"""
 
 ORACLES: dict[str, str] = {
+    "landed_postings": f"""with {_PAGES}
+select country, page, {_AS_OF} as ingested_at, cast(o_orderkey as varchar) as source_id,
+  'Role ' || o_orderstatus as title from pg where not empty
+union all
+select country, page, {_AS_OF}, cast(null as varchar), 'no id' from pg where not empty""",
+    "page_cutoff": _KEPT + "\nselect country, page, case when empty then 0 else 2 end as n_results from kept",
+    "flatten_posting": _KEPT + f"""
+select 'adzuna' as source_name, cast(o_orderkey as varchar) as source_id, 'Role ' || o_orderstatus as title,
+  case when o_custkey % 5 in (0, 1) then cast(null as varchar) else 'C' || cast(o_custkey as varchar) end as company,
+  country as country_code, 'L' as location_display,
+  case when o_custkey % 3 = 2 then 'BE' end as region,
+  case o_custkey % 3 when 0 then cast(null as varchar) when 1 then 'DE' else 'Berlin' end as city,
+  cast(null as varchar) as category, cast(null as varchar) as contract_time,
+  case o_custkey % 3 when 0 then 45000.0 when 1 then 45000.5 end::double as salary_min,
+  cast(null as double) as salary_max, cast(null as varchar) as created, cast(null as varchar) as description,
+  cast(null as varchar) as redirect_url, {_AS_OF} as ingested_at
+from kept
+union all
+select 'adzuna', cast(null as varchar), 'no id', null, country, null, null, null, null, null,
+  cast(null as double), cast(null as double), null, null, null, {_AS_OF}
+from kept""",
+    "newest_per_key": "with " + curated_ctes() + "\nselect * from newest",
+    "normalize": "with " + curated_ctes() + "\nselect source_name, source_id, title, company, country_code from norm",
+    "posted_date": "with " + curated_ctes() + "\nselect source_name, source_id, created, posted_date from enriched",
+    "seniority": with_cur("select source_name, source_id, title, seniority from cur"),
+    "skills": with_cur("select source_name, source_id, array_to_string(skills, ',') as skills from cur"),
+    "skill_count": with_cur("select source_name, source_id, skill_count from cur"),
+    "clouds": with_cur("select source_name, source_id, array_to_string(clouds, ',') as clouds from cur"),
+    "silver": with_cur(f"select {_FLAT19} from cur"),
+    "skills_by_country": with_cur(
+        "select country_code, skill, count(*) as mentions from (select country_code, unnest(skills) as skill from cur) "
+        "where skill is not null group by country_code, skill"
+    ),
+    "top_tools": with_cur(
+        "select skill, count(*) as junior_mentions from (select unnest(skills) as skill from cur where seniority = 'junior') "
+        "where skill is not null group by skill"
+    ),
+    "cloud_demand": with_cur(
+        "select country_code, cloud, count(*) as mentions from (select country_code, unnest(clouds) as cloud from cur) "
+        "where cloud is not null group by country_code, cloud"
+    ),
     "jobs_by_day": with_cur(
-        "select posted_date, count(*) as jobs_posted from cur "
-        "where posted_date is not null group by posted_date"
+        "select posted_date, count(*) as jobs_posted from cur where posted_date is not null group by posted_date"
+    ),
+    "top_companies": with_cur(
+        "select company, count(*) as openings from cur where company is not null group by company"
     ),
+    "quality_metrics": with_cur("""select total, null_ids, distinct_ids, total - distinct_ids as duplicate_ids,
+  missing_companies, null_dates, empty_skills,
+  case when total > 0 then null_dates / total end as null_date_ratio,
+  case when total > 0 then empty_skills / total end as empty_skill_ratio
+from (select count(*) as total,
+  count(*) filter (where source_id is null) as null_ids,
+  (select count(*) from (select distinct source_id from cur)) as distinct_ids,
+  count(*) filter (where company is null or trim(company, ' ') = '') as missing_companies,
+  count(*) filter (where posted_date is null) as null_dates,
+  count(*) filter (where len(skills) = 0) as empty_skills
+  from cur)"""),
 }
+
+
+def _checks_sql(distinct_sql: str, null_sql: str) -> str:
+    return with_cur(f"""
+, m as (
+  select count(*) as total,
+    count(*) filter (where {null_sql}) as null_ids,
+    ({distinct_sql}) as distinct_ids,
+    count(*) filter (where company is null or trim(company, ' ') = '') as missing_companies,
+    count(*) filter (where posted_date is null) as null_dates,
+    count(*) filter (where len(skills) = 0) as empty_skills
+  from cur
+)
+select 'non_empty' as name, 'error' as severity, total > 0 as passed from m
+union all select 'source_id_not_null', 'error', null_ids = 0 from m where total > 0
+union all select 'source_id_unique', 'error', total - distinct_ids = 0 from m where total > 0
+union all select 'company_present', 'warn', missing_companies = 0 from m where total > 0
+union all select 'posted_date_parseable', 'error', null_dates / total <= 0.20 from m where total > 0
+union all select 'skills_extracted', 'warn', empty_skills / total <= 0.50 from m where total > 0""").replace(
+        ")\n\n, m as", "),\nm as"
+    )
+
+
+ORACLES.update({
+    "quality_checks": _checks_sql("select count(*) from (select distinct source_id from cur)", "source_id is null"),
+    "quality_checks_source_key": _checks_sql(
+        "select count(*) from (select distinct source_name, source_id from cur)",
+        "source_name is null or source_id is null",
+    ),
+    "facets": with_cur("""select 'country_code' as facet, country_code as value from cur where country_code is not null
+union select 'seniority', seniority from cur where seniority is not null
+union select 'city', city from cur where city is not null and trim(city, ' ') <> ''"""),
+    "date_bounds": with_cur("""select min_date, max_date,
+  greatest(min_date, cast(date_trunc('month', max_date) as date)) as default_start, max_date as default_end
+from (select min(posted_date) as min_date, max(posted_date) as max_date from cur where posted_date is not null)"""),
+    "explore_filter": with_cur(f"select {_SEARCH_COLS} from cur where {_search_where(R.FILTER_SPEC)}"),
+    "explore_keyword": with_cur(f"select {_SEARCH_COLS} from cur where {_search_where(R.KEYWORD_SPEC)}"),
+    "explore_metrics": with_cur(f""", f as (select * from cur where {_search_where(R.METRICS_SPEC)})
+select (select count(*) from f) as jobs,
+  (select count(*) from (select distinct company from f)) as companies,
+  (select count(*) from (select distinct country_code from f)) as countries,
+  (select count(*) from (select distinct seniority from f)) as seniorities""").replace(")\n, f as", "),\nf as"),
+    "explore_listing": with_cur(f"""select title, company, country_code, city, seniority, posted_date,
+  array_to_string(skills, ',') as skills, salary_min, salary_max, redirect_url
+from cur where {_search_where(R.LISTING_SPEC)}
+order by posted_date desc nulls last, country_code asc nulls first, company asc nulls first,
+  source_name asc nulls first, source_id asc nulls first
+limit {explore.DEFAULT_ROWS}"""),
+    "mart_preview": with_cur(f"""select company, count(*) as openings from cur where company is not null
+group by company order by openings desc, company asc nulls first limit {explore.PREVIEW_ROWS}"""),
+    "document_skills": f"""select doc_id, lang,
+  array_to_string({skills_list_sql("text", R.DOCUMENT_TAXONOMY)}, ',') as skills from documents""",
+    "document_skills_by_lang": _DOC_CUR + """
+select country_code, skill, count(*) as mentions
+from (select country_code, unnest(skills) as skill from docs where rn = 1)
+where skill is not null group by country_code, skill""",
+    "newest_events": """select event_id, ts, user_id, event_type, value, props from (
+  select *, row_number() over (partition by event_type, user_id
+    order by ts desc nulls last, event_id asc nulls first, value asc nulls first, props asc nulls first) as rn
+  from events) where rn = 1""",
+})
