@@ -1,6 +1,6 @@
 """Taxonomy-based tagging as native Column expressions.
 
-Everything here builds plain ``rlike`` / ``when`` / ``array_compact``
+Everything here builds plain ``rlike`` / ``contains`` / ``when`` / ``concat``
 expressions at plan time, so the tagging runs inside whole-stage codegen on
 the executors: no Python worker is involved and nothing is collected.
 
@@ -73,6 +73,11 @@ SENIORITY_WORD_CLASS = r"\p{L}\p{Nd}_"
 
 _REGEX_META = set(r"\.^$|?*+()[]{}")
 
+# FIXED VALUES: the only characters outside ASCII that match an ASCII letter
+# under Unicode case-insensitive matching, and the letter each matches
+# (long s, dotless i, dotted capital I, Kelvin sign).
+_FOLDS_TO_ASCII = ("\u017f\u0131\u0130\u212a", "siik")
+
 
 def _literal(text: str) -> str:
     """Escape regex metacharacters only; letters, digits, spaces, '/' and '-'
@@ -106,6 +111,39 @@ def boundary_pattern(
     return f"{flags}(?:^|[^{word_class}])(?:{body})(?:{end}|[^{word_class}])"
 
 
+def literal_core(alias: str) -> str | None:
+    """Lower-case text every match of ``alias`` must contain, or ``None``
+    when the alias is a regex fragment with no literal part we rely on.
+    ``"delta tables?"`` gives ``"delta table"``."""
+    if "?" not in alias:
+        return alias.lower()
+    head = alias[:-1] if alias.endswith("?") else None
+    if head and not any(ch in _REGEX_META for ch in head[:-1]):
+        return head[:-1].lower()
+    return None
+
+
+def folded(text: Column) -> Column:
+    """``text`` lower-cased after mapping the non-ASCII characters that fold
+    onto ASCII letters: wherever a case-insensitive match of an ASCII alias
+    exists, the alias occurs literally in this string."""
+    src, dst = _FOLDS_TO_ASCII
+    return F.lower(F.translate(text, src, dst))
+
+
+def may_contain(lowered: Column, aliases: Sequence[str]) -> Column | None:
+    """Cheap necessary condition (byte substring search) for any alias of
+    ``aliases`` to match; ``None`` if some alias has no literal core."""
+    cores = [literal_core(a) for a in aliases]
+    if any(c is None or not c.isascii() for c in cores):
+        return None
+    cond = None
+    for c in dict.fromkeys(cores):
+        hit = lowered.contains(F.lit(c))
+        cond = hit if cond is None else (cond | hit)
+    return cond
+
+
 def skill_text(title: Column | str, description: Column | str) -> Column:
     """Text the skills are searched in: title and description, nulls skipped."""
     return F.concat_ws(" ", _col(title), _col(description))
@@ -119,15 +157,27 @@ def skills(
 
     Sorted by code point (Spark compares strings by UTF-8 bytes, which is the
     same order), unique, and ``[]`` for null or empty text.
+
+    Each Unicode-aware regex runs only after a byte substring search on the
+    folded text found one of the name's aliases, so most rows never reach the
+    regex engine; the pre-check can only say "maybe", never "no" wrongly.
+
+    The result is a ``concat`` of one-element-or-empty arrays rather than a
+    null-filtering higher-order function: higher-order functions are evaluated
+    without code generation, which would also switch off the sharing of the
+    folded text between the pre-checks.
     """
     t = _col(text)
-    hits = [
-        F.when(t.rlike(boundary_pattern(taxonomy[name])), F.lit(name))
-        for name in sorted(taxonomy)
-    ]
-    if not hits:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*hits))
+    low = folded(t)
+    none = F.array().cast("array<string>")
+    parts = []
+    for name in sorted(taxonomy):
+        match = t.rlike(boundary_pattern(taxonomy[name]))
+        pre = may_contain(low, taxonomy[name])
+        parts.append(F.when(match if pre is None else (pre & match), F.array(F.lit(name))).otherwise(none))
+    if not parts:
+        return none
+    return F.concat(*parts)
 
 
 def clouds(skill_array: Column | str, cloud_names: Sequence[str] = CLOUD_SKILLS) -> Column:
@@ -145,6 +195,11 @@ def seniority(
     expr = None
     for label, words in classes:
         cond = t.rlike(boundary_pattern(words, SENIORITY_WORD_CLASS, ignore_case=False))
+        pre = None
+        for w in words:  # the pattern is case-sensitive on the lowered title
+            hit = t.contains(F.lit(w))
+            pre = hit if pre is None else (pre | hit)
+        cond = pre & cond
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
