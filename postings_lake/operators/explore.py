@@ -37,7 +37,7 @@ def facets(curated: DataFrame, names: Sequence[str] = FACETS) -> DataFrame:
     Nulls are dropped; cities that are blank after trimming are dropped too.
     """
     pairs = F.array(*[F.struct(F.lit(n).alias("facet"), F.col(n).cast("string").alias("value")) for n in names])
-    out = curated.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    out = curated.select(F.inline_outer(pairs)).where(F.col("value").isNotNull())
     out = out.where((F.col("facet") != "city") | (F.trim(F.col("value")) != ""))
     return out.distinct().orderBy("facet", "value")
 

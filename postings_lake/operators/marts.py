@@ -70,7 +70,11 @@ def _rows(curated: DataFrame, spec: MartSpec) -> DataFrame:
     if spec.explode is not None:
         arr, alias = spec.explode
         others = [k for k in spec.keys if k != alias]
-        df = df.select(*others, F.explode(arr).alias(alias))
+        # explode_outer + the not-null filter below drop the same rows as a
+        # plain explode, but a plain explode makes Catalyst infer
+        # ``size(arr) > 0`` and push it below the projection that computes
+        # ``arr``, evaluating the (regex-heavy) array expression twice.
+        df = df.select(*others, F.explode_outer(arr).alias(alias))
     else:
         df = df.select(*spec.keys)
     for k in spec.not_null():
@@ -147,7 +151,9 @@ def build_marts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> dict[s
         # A null array (or a null condition) contributes no records but must
         # not null out the concatenation of the other marts' records.
         pieces.append(F.coalesce(F.when(cond, arr), F.array().cast(record_type)))
-    tagged = curated.select(F.inline(F.concat(*pieces)))
+    # inline_outer for the reason given in _rows; its all-null padding rows
+    # carry no mart tag and are dropped.
+    tagged = curated.select(F.inline_outer(F.concat(*pieces))).where(F.col("__mart").isNotNull())
     agg = tagged.groupBy("__mart", *names).agg(F.count(F.lit(1)).alias("__n"))
     out: dict[str, DataFrame] = {"__all__": agg}
     for i, s in enumerate(specs):

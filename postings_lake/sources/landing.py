@@ -67,12 +67,25 @@ def is_empty_page(results: Column) -> Column:
     return results.isNull() | (F.size(results) == 0)
 
 
+def unnest_results(pages: DataFrame, *keep: str) -> DataFrame:
+    """One row per element of ``results`` (``posting``), with ``keep`` columns.
+
+    ``posexplode_outer`` and a non-null position give exactly the rows of a
+    plain ``explode`` (null elements included), without the ``size(results) >
+    0`` predicate Catalyst infers for ``explode`` and pushes below the
+    projection, which would parse every body twice.
+    """
+    return (
+        pages.select(*keep, F.posexplode_outer("results").alias("__pos", "posting"))
+        .where(F.col("__pos").isNotNull())
+        .drop("__pos")
+    )
+
+
 def landed_postings(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """Every posting of every page, no cut-off: ``country, page, ingested_at,
     posting``."""
-    return decode(pages, mode=mode).select(
-        "country", "page", "ingested_at", F.explode("results").alias("posting")
-    )
+    return unnest_results(decode(pages, mode=mode), "country", "page", "ingested_at")
 
 
 def cutoff_pages(
@@ -145,5 +158,5 @@ def pages_to_bronze(
 ) -> DataFrame:
     """Cut-off, unnest and flatten: the bronze rows of one landed run."""
     kept = cutoff_pages(pages, max_pages, mode=mode)
-    exploded = kept.select("country", "ingested_at", F.explode("results").alias("posting"))
+    exploded = unnest_results(kept, "country", "ingested_at")
     return flatten(exploded, source=source)
