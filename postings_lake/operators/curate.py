@@ -48,11 +48,13 @@ SILVER_COLUMNS: tuple[str, ...] = (
 class CurateSpec:
     """Parameters of the curation step.
 
-    ``key`` identifies a posting for deduplication. ``order`` picks how
-    ``ingested_at`` is compared (see :func:`newest_per_key`).
+    ``key`` identifies a posting for deduplication; it is a set, listed most
+    selective column first because the first column leads the sort prefix of
+    the dedupe. ``order`` picks how ``ingested_at`` is compared (see
+    :func:`newest_per_key`).
     """
 
-    key: tuple[str, ...] = ("source_name", "source_id")
+    key: tuple[str, ...] = ("source_id", "source_name")
     default_source: str = DEFAULT_SOURCE
     order: str = "string"
     taxonomy: Mapping[str, Sequence[str]] = field(default_factory=lambda: lexicon.SKILL_TAXONOMY)

@@ -36,6 +36,10 @@ def newest_per_key(
     one format sort in time order); ``order="timestamp"`` parses strings first
     and breaks parse ties with the raw value.
 
+    ``keys`` is a set; list its most selective column first, since the first
+    column leads the binary sort prefix (a low-cardinality first key turns
+    every comparison into a full-row comparison).
+
     With ``tie_break`` every remaining column of an orderable type is appended
     to the ordering, so only fully equal rows tie and reruns return the same
     rows.

@@ -22,9 +22,9 @@ TABLES = (
 
 # The driver's test files each hold a single parquet row group, and a row
 # group is read by one task whatever its size: every per-row step before the
-# first shuffle would run on one core. Inputs below this size are spread
-# round-robin over the cluster's cores right after the scan (cheap at this
-# size); larger inputs keep the scan's own splits and are never reshuffled.
+# first shuffle would run on one core. Inputs below this size are spread over
+# the cluster's cores right after the scan (cheap at this size); larger inputs
+# keep the scan's own splits and are never reshuffled.
 SPREAD_BELOW_BYTES = 1 << 30
 
 
@@ -34,10 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small(df: DataFrame, below_bytes: int = SPREAD_BELOW_BYTES) -> DataFrame:
+    """Hash-partition a small scan on its row position.
+
+    The position (``monotonically_increasing_id``) is unique per row, so
+    duplicate rows cannot pile up in one task the way they would when hashing
+    the row's values, and it is stable across task retries for a file scan;
+    unlike a round-robin repartition it needs no local sort first.
+    """
     size = estimated_bytes(df)
     if size is None or size > below_bytes:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.monotonically_increasing_id())
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
