@@ -23,6 +23,9 @@ LISTING_COLUMNS: tuple[str, ...] = (
     "title", "company", "country_code", "city", "seniority", "posted_date", "skills",
     "salary_min", "salary_max", "redirect_url",
 )
+VIEWER_COLUMNS: tuple[str, ...] = (
+    "title", "company", "country_code", "city", "seniority", "skills", "salary_min", "salary_max",
+)
 DEFAULT_ROWS = 50
 PREVIEW_ROWS = 20
 FACETS: tuple[str, ...] = ("country_code", "seniority", "city")
@@ -164,3 +167,14 @@ def listing(df: DataFrame, rows: int = DEFAULT_ROWS) -> DataFrame:
 def preview(mart: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     """First ``rows`` rows of an ordered mart (its own order is kept)."""
     return mart.limit(rows)
+
+
+def viewer(curated: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
+    """Short look at the curated table: :data:`VIEWER_COLUMNS` of the first
+    ``rows`` postings by key (a fixed order, so every call shows the same rows;
+    a ``TakeOrderedAndProject``, not a sort of the table)."""
+    return (
+        curated.orderBy(F.col("source_name").asc_nulls_first(), F.col("source_id").asc_nulls_first())
+        .limit(rows)
+        .select(*VIEWER_COLUMNS)
+    )

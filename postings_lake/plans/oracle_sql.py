@@ -184,6 +184,9 @@ order by posted_date desc nulls last, country_code asc nulls first, company asc
 limit {explore.DEFAULT_ROWS}"""),
     "mart_preview": with_cur(f"""select company, count(*) as openings from cur where company is not null
 group by company order by openings desc, company asc nulls first limit {explore.PREVIEW_ROWS}"""),
+    "silver_viewer": with_cur(f"""select title, company, country_code, city, seniority,
+  array_to_string(skills, ',') as skills, salary_min, salary_max
+from cur order by source_name asc nulls first, source_id asc nulls first limit {explore.PREVIEW_ROWS}"""),
     "document_skills": f"""select doc_id, lang,
   array_to_string({skills_list_sql("text", R.DOCUMENT_TAXONOMY)}, ',') as skills from documents""",
     "document_skills_by_lang": _DOC_CUR + """

@@ -150,6 +150,10 @@ def q_explore_listing(spark, sf_dir):
     return flat(explore.listing(explore.apply_search(curated(spark, sf_dir), LISTING_SPEC)))
 
 
+def q_silver_viewer(spark, sf_dir):
+    return flat(explore.viewer(curated(spark, sf_dir)))
+
+
 def q_mart_preview(spark, sf_dir):
     return explore.preview(marts.build_mart(curated(spark, sf_dir), marts.TOP_COMPANIES))
 
@@ -214,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "explore_metrics": q_explore_metrics,
     "explore_listing": q_explore_listing,
     "mart_preview": q_mart_preview,
+    "silver_viewer": q_silver_viewer,
     # the same operators on other tables
     "document_skills": q_document_skills,
     "document_skills_by_lang": q_document_skills_by_lang,

@@ -120,3 +120,9 @@ def test_preview_keeps_mart_order(spark):
 
     m = marts.build_mart(cur(spark), marts.TOP_COMPANIES)
     assert [tuple(r) for r in explore.preview(m, 2).collect()] == [("ACME", 2), ("50% [Off]", 1)]
+
+
+def test_viewer_first_rows_by_key(spark):
+    out = explore.viewer(cur(spark), rows=2)
+    assert tuple(out.columns) == explore.VIEWER_COLUMNS
+    assert [r["company"] for r in out.collect()] == ["ACME", "Globex"]
