@@ -41,6 +41,11 @@ POSTING_SCHEMA = StructType(
     ]
 )
 PAGE_SCHEMA = StructType([StructField("results", ArrayType(POSTING_SCHEMA))])
+# Enough of the page to count its results: same element kind, one field, so
+# the parser skips the rest of every posting instead of building it.
+SKIM_SCHEMA = StructType(
+    [StructField("results", ArrayType(StructType([StructField("id", StringType())])))]
+)
 
 # FIXED VALUES: defaults of a fetch run.
 DEFAULT_MAX_PAGES = 3
@@ -98,18 +103,19 @@ def cutoff_pages(
     per country nothing at or after the first empty page.
 
     The first empty page per country is a partial/final ``min`` aggregate
-    (one row per country), joined back as a broadcast when its size bound
-    holds. A window over ``country`` would instead put each country (a third
-    of all pages, say) into one task.
+    (one row per country) over a skim parse of the bodies, joined back as a
+    broadcast when its size bound holds. A window over ``country`` would
+    instead put each country (a third of all pages, say) into one task.
     """
-    d = decode(pages, mode=mode).where(F.col("page") <= max_pages)
+    in_range = pages.where(F.col("page") <= max_pages)
+    skim = F.from_json(F.col("body"), SKIM_SCHEMA, {"mode": mode}).getField("results")
     first_empty = (
-        d.where(is_empty_page(F.col("results")))
+        in_range.where(is_empty_page(skim))
         .groupBy("country")
         .agg(F.min("page").alias("__first_empty"))
     )
     first_empty = bounded_broadcast(first_empty, max_broadcast_rows)
-    joined = d.join(first_empty, on="country", how="left")
+    joined = decode(in_range, mode=mode).join(first_empty, on="country", how="left")
     keep = F.col("__first_empty").isNull() | (F.col("page") < F.col("__first_empty"))
     return joined.where(keep).drop("__first_empty")
 
