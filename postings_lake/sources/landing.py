@@ -9,6 +9,8 @@ aggregate.
 """
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -51,6 +53,13 @@ SKIM_SCHEMA = StructType(
 DEFAULT_MAX_PAGES = 3
 
 
+def stamp_run(pages: DataFrame, ingested_at: str | None = None) -> DataFrame:
+    """Give every page of one run the same ``ingested_at``: the given text, or
+    the current UTC time in ISO-8601 (``2026-06-24T08:15:00.123456+00:00``)."""
+    at = ingested_at or dt.datetime.now(dt.timezone.utc).isoformat()
+    return pages.withColumn("ingested_at", F.lit(at))
+
+
 def decode(pages: DataFrame, body: str = "body", mode: str = "FAILFAST") -> DataFrame:
     """Add ``results`` (array of posting structs) parsed from ``body``.
 

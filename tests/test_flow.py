@@ -71,3 +71,13 @@ def test_gate_blocks_the_write(spark, workdir):
         flow.run(spark, bad, lay)
     after = sorted(map(tuple, tables.read_table(spark, lay.silver).collect()))
     assert before == after
+
+
+def test_run_timestamp_stamped_once(spark, workdir):
+    lay = Layout(workdir)
+    pages = landed(spark, [page("de", 1, [1]), page("nl", 1, [2])], "x").drop("ingested_at")
+    assert flow.bronze_step(pages, lay) == 2
+    stamps = {r["ingested_at"] for r in tables.read_table(spark, lay.bronze).collect()}
+    assert len(stamps) == 1
+    (at,) = stamps
+    assert at.endswith("+00:00") and "T" in at
