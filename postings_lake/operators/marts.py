@@ -113,47 +113,57 @@ def _tagged_union_schema(specs: Sequence[MartSpec], curated: DataFrame) -> list[
 def build_marts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> dict[str, DataFrame]:
     """Several marts from one pass over ``curated``.
 
-    Every curated row emits one tagged record per mart row it feeds (an
-    ``inline`` of concatenated arrays of structs); a single ``groupBy(tag,
-    keys...)`` with a map-side partial count then produces all marts at once.
-    The shared aggregate is small (one row per mart row); each mart is a
-    filter of it. Callers that write several marts should persist the
-    returned frames' common parent, available as ``result["__all__"]``.
+    Every curated row emits one tagged record per mart row it feeds: for an
+    unnesting spec an ``arrays_zip`` of the array with its row's other keys
+    repeated alongside, otherwise a one-record array; the specs' arrays are
+    concatenated and unnested once. A single ``groupBy(tag, keys...)`` with a
+    map-side partial count then produces all marts at once, so silver is
+    scanned once and shuffled once. All of it is built from expressions with
+    generated code (no higher-order functions). The shared aggregate is small
+    (one row per mart row); each mart is a filter of it. Callers that write
+    several marts should persist ``result["__all__"]``.
     """
     cols = _tagged_union_schema(specs, curated)
     names = [c for c, _ in cols]
     record_type = "array<struct<__mart:int," + ",".join(f"`{c}`:{t}" for c, t in cols) + ">>"
     pieces: list[Column] = []
+    keep_record: Column | None = None
     for i, s in enumerate(specs):
-        def record(elem: Column | None, s=s, i=i) -> Column:
-            fields = [F.lit(i).alias("__mart")]
+        if s.explode is not None:
+            arr = F.col(s.explode[0])
+            n = F.coalesce(F.size(arr), F.lit(0))
+            n = F.when(n < 0, F.lit(0)).otherwise(n)  # size(null) is -1 without ANSI
+            fields = []
             for c, t in cols:
-                if s.explode is not None and c == s.explode[1]:
-                    v = elem
+                if c == s.explode[1]:
+                    fields.append(arr.cast(f"array<{t}>"))
                 elif c in s.keys:
-                    v = F.col(c)
+                    fields.append(F.array_repeat(F.col(c).cast(t), n))
                 else:
-                    v = F.lit(None).cast(t)
-                fields.append(v.cast(t).alias(c))
-            return F.struct(*fields)
-
-        if s.explode is not None:
-            arr = F.filter(F.col(s.explode[0]), lambda x: x.isNotNull())
-            arr = F.transform(arr, lambda x: record(x))
+                    fields.append(F.array_repeat(F.lit(None).cast(t), n))
+            recs = F.arrays_zip(F.array_repeat(F.lit(i), n), *fields).cast(record_type)
+            # Null elements of the unnested array feed no mart row.
+            drop = (F.col("__mart") == i) & F.col(s.explode[1]).isNull()
+            keep_record = ~drop if keep_record is None else (keep_record & ~drop)
         else:
-            arr = F.array(record(None))
+            fields = [F.lit(i)]
+            for c, t in cols:
+                fields.append(F.col(c).cast(t) if c in s.keys else F.lit(None).cast(t))
+            recs = F.array(F.struct(*fields)).cast(record_type)
         cond = F.lit(True)
         if s.where is not None:
             cond = cond & F.expr(s.where)
-        for k in s.not_null():
-            if s.explode is None:
+        if s.explode is None:
+            for k in s.not_null():
                 cond = cond & F.col(k).isNotNull()
-        # A null array (or a null condition) contributes no records but must
-        # not null out the concatenation of the other marts' records.
-        pieces.append(F.coalesce(F.when(cond, arr), F.array().cast(record_type)))
+        # A null condition contributes no records but must not null out the
+        # concatenation of the other marts' records.
+        pieces.append(F.coalesce(F.when(cond, recs), F.array().cast(record_type)))
     # inline_outer for the reason given in _rows; its all-null padding rows
     # carry no mart tag and are dropped.
     tagged = curated.select(F.inline_outer(F.concat(*pieces))).where(F.col("__mart").isNotNull())
+    if keep_record is not None:
+        tagged = tagged.where(keep_record)
     agg = tagged.groupBy("__mart", *names).agg(F.count(F.lit(1)).alias("__n"))
     out: dict[str, DataFrame] = {"__all__": agg}
     for i, s in enumerate(specs):

@@ -72,3 +72,19 @@ def test_partial_aggregate_before_shuffle(spark):
         assert "partial_count" in plan
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_one_pass_build_with_null_arrays_and_elements(spark):
+    rows = [
+        ("de", "junior", D1, None, None, "A"),
+        ("de", "junior", D1, ["Python", None], [None], "A"),
+        ("nl", None, None, [], [], None),
+    ]
+    c = spark.createDataFrame(rows, SCHEMA).unionByName(cur(spark))
+    together = marts.build_marts(c)
+    for spec in marts.MARTS:
+        assert rows_of(together[spec.name]) == rows_of(marts.build_mart(c, spec)), spec.name
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
