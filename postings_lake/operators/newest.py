@@ -5,11 +5,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, StringType
+from pyspark.sql.types import ArrayType, AtomicType, DataType, StringType
 
 _RANK = "__newest_rank"
 
 
+def _orderable(t: DataType) -> bool:
+    """Types the tie-break sorts on: atomic values and arrays of them."""
+    return isinstance(t, AtomicType) or (isinstance(t, ArrayType) and isinstance(t.elementType, AtomicType))
+
+
 def _order_value(df: DataFrame, order_col: str, order: str) -> Column:
     c = F.col(order_col)
     if order == "string":
@@ -40,7 +45,8 @@ def newest_per_key(
     column leads the binary sort prefix (a low-cardinality first key turns
     every comparison into a full-row comparison).
 
-    With ``tie_break`` every remaining column of an orderable type is appended
+    With ``tie_break`` every remaining column of an orderable type (atomic,
+    or an array of atomic values) is appended
     to the ordering, so only fully equal rows tie and reruns return the same
     rows.
 
@@ -58,7 +64,7 @@ def newest_per_key(
         ordering += [
             F.col(f.name).asc_nulls_first()
             for f in df.schema.fields
-            if f.name not in skip and isinstance(f.dataType, AtomicType)
+            if f.name not in skip and _orderable(f.dataType)
         ]
     w = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) == 1).drop(_RANK)
