@@ -81,3 +81,20 @@ def test_run_timestamp_stamped_once(spark, workdir):
     assert len(stamps) == 1
     (at,) = stamps
     assert at.endswith("+00:00") and "T" in at
+
+
+def test_keep_checkpoint_runs_the_plan_once(spark):
+    from pyspark.sql import functions as F
+
+    acc = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):  # test-only probe: counts how often the plan is evaluated
+        acc.add(1)
+        return x
+
+    df = spark.range(50).withColumn("x", counted(F.col("id")))
+    kept = flow.keep(df, "checkpoint")
+    assert kept.count() == 50 and kept.agg(F.sum("x")).first()[0] == sum(range(50))
+    assert "LogicalRDD" in kept._jdf.queryExecution().optimizedPlan().toString()  # lineage cut
+    assert acc.value == 50  # computed once for the checkpoint, then read back
