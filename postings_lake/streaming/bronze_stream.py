@@ -15,6 +15,7 @@ together (``max_files_per_trigger`` unset, the default).
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -65,8 +66,14 @@ def start_bronze_stream(
     pages = reader.load(landing_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = landing.pages_to_bronze(batch, max_pages=max_pages, source=source)
-        tables.append_bronze(rows, layout.bronze, fmt)
+        # Three actions read the batch (cut-off size check, emptiness check,
+        # write); hold it so its files are read once.
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = landing.pages_to_bronze(held, max_pages=max_pages, source=source)
+            tables.append_bronze(rows, layout.bronze, fmt)
+        finally:
+            held.unpersist()
 
     writer = (
         pages.writeStream.foreachBatch(write_batch)
