@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from postings_lake.operators.curate import BRONZE_SCHEMA, DEFAULT_SOURCE
 from postings_lake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
@@ -49,10 +49,27 @@ SKIM_SCHEMA = StructType(
     [StructField("results", ArrayType(StructType([StructField("id", StringType())])))]
 )
 
+# One landed page as stored by the fetch: request country, page number, the
+# response body as text, and the run's ingestion time.
+LANDED_PAGE_SCHEMA = StructType(
+    [
+        StructField("country", StringType()),
+        StructField("page", LongType()),
+        StructField("body", StringType()),
+        StructField("ingested_at", StringType()),
+    ]
+)
+
 # FIXED VALUES: defaults of a fetch run.
 DEFAULT_MAX_PAGES = 3
 
 
+def read_pages(spark: SparkSession, path: str, file_format: str = "json") -> DataFrame:
+    """Landed pages stored as files (JSON lines, parquet, ...), read with the
+    explicit page schema: no inference pass over the data."""
+    return spark.read.schema(LANDED_PAGE_SCHEMA).format(file_format).load(path)
+
+
 def stamp_run(pages: DataFrame, ingested_at: str | None = None) -> DataFrame:
     """Give every page of one run the same ``ingested_at``: the given text, or
     the current UTC time in ISO-8601 (``2026-06-24T08:15:00.123456+00:00``)."""

@@ -18,19 +18,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from postings_lake.sources import landing, tables
 from postings_lake.sources.tables import Layout
 
-LANDED_PAGE_SCHEMA = StructType(
-    [
-        StructField("country", StringType()),
-        StructField("page", LongType()),
-        StructField("body", StringType()),
-        StructField("ingested_at", StringType()),
-    ]
-)
+LANDED_PAGE_SCHEMA = landing.LANDED_PAGE_SCHEMA
 
 
 def default_checkpoint(spark: SparkSession, name: str = "bronze_stream") -> str:
