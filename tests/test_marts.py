@@ -88,3 +88,24 @@ def test_one_pass_build_with_null_arrays_and_elements(spark):
 
 def rows_of(df):
     return [tuple(r) for r in df.collect()]
+
+
+def test_hot_company_is_combined_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from plan_metrics import shuffle_records
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n_hot, n_other, maps = 10_000, 20_000, 8
+        hot = spark.range(n_hot).select(F.lit("BigCo").alias("company"))
+        other = spark.range(n_other).select((F.col("id") % 1000).cast("string").alias("company"))
+        df = hot.unionByName(other).repartition(maps)
+        mart = marts.build_mart(df, marts.TOP_COMPANIES, ordered=False)
+        got = {r["company"]: r["openings"] for r in mart.collect()}
+        assert got["BigCo"] == n_hot and len(got) == 1001
+        records = shuffle_records(mart._jdf.queryExecution().executedPlan())
+        # Partial counts: at most one row per (key, map task) crosses the shuffle.
+        assert max(r for r in records if r != n_hot + n_other) <= 1001 * maps
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
