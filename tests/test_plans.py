@@ -66,3 +66,17 @@ def test_one_pass_marts_scan_silver_once(spark, stored_silver):
         assert p.count("FileScan") == 1 and p.count("Exchange") == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_every_query_plan_is_jvm_only_and_join_safe(spark):
+    """No Python evaluation, no cartesian or nested-loop joins, and the only
+    broadcast is the size-checked cut-off lookup."""
+    import __spark_entry__ as E
+
+    for key, q in E.queries().items():
+        p = plan(q(spark, SF))
+        assert "EvalPython" not in p and "PythonUDF" not in p, key
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+        if "BroadcastExchange" in p:
+            assert key in {"page_cutoff", "flatten_posting"}, key
+            assert "__first_empty" in p, key
