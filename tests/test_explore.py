@@ -126,3 +126,20 @@ def test_viewer_first_rows_by_key(spark):
     out = explore.viewer(cur(spark), rows=2)
     assert tuple(out.columns) == explore.VIEWER_COLUMNS
     assert [r["company"] for r in out.collect()] == ["ACME", "Globex"]
+
+
+def test_wildcard_characters_are_literal(spark):
+    rows = [
+        ("a", "1", "Dev", "50% Off Ltd", "de", "X", None, None, "junior", D(2026, 6, 3), [], None, None, "u"),
+        ("a", "2", "Dev", "5000 Off", "de", "X", None, None, "junior", D(2026, 6, 3), [], None, None, "u"),
+        ("a", "3", "v1.2 dev", "C", "de", "X", None, None, "junior", D(2026, 6, 3), [], None, None, "u"),
+        ("a", "4", "v102 dev", "C", "de", "X", None, None, "junior", D(2026, 6, 3), [], None, None, "u"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+
+    def hits(**kw):
+        return ids(explore.apply_search(df, explore.SearchSpec(posted=ALL, **kw)))
+
+    assert hits(keyword="50%") == [("a", "1")]  # not a LIKE wildcard
+    assert hits(keyword="0_ o") == []
+    assert hits(role="1.2") == [("a", "3")]  # not a regex dot
