@@ -28,12 +28,12 @@ FILTER_SPEC = explore.SearchSpec(
     countries=("de", "nl"), cities=("City A", "City B"), seniority="junior",
     posted=(dt.date(1994, 1, 1), dt.date(1996, 12, 31)),
 )
-KEYWORD_SPEC = explore.SearchSpec(
-    role="engineer", location="Region A", keyword=" SQL ",
-    posted=(dt.date(1992, 1, 1), dt.date(1998, 12, 31)),
-)
+# Keyword and listing queries span every posting date (the data runs
+# 1995-2001); filter and metrics use a sub-range to exercise the date test.
+ALL_DATES = (dt.date(1990, 1, 1), dt.date(2030, 12, 31))
+KEYWORD_SPEC = explore.SearchSpec(role="engineer", location="Region A", keyword=" SQL ", posted=ALL_DATES)
 METRICS_SPEC = explore.SearchSpec(location="city", posted=(dt.date(1993, 1, 1), dt.date(1997, 6, 30)))
-LISTING_SPEC = explore.SearchSpec(countries=("gb", "fr"), posted=(dt.date(1992, 1, 1), dt.date(1998, 12, 31)))
+LISTING_SPEC = explore.SearchSpec(countries=("gb", "fr"), posted=ALL_DATES)
 
 # Test names for the documents table: words that occur in its prose, next to
 # the default taxonomy (which the invented prose never mentions).
