@@ -57,20 +57,48 @@ def balanced_sample(rows: DataFrame, by: str, per_class: int) -> DataFrame:
 
 
 def labelled_texts(documents: DataFrame, labels: DataFrame, by: str, per_class: int,
-                   excluded: Column) -> list[tuple[str, object]]:
-    """``(text, class)`` of a bounded labelled sample, distinct and sorted.
+                   excluded: Column) -> list[tuple[str, object, int]]:
+    """``(text, class, smallest doc_id)`` of a bounded labelled sample, distinct
+    texts in order.
 
     ``excluded`` (over ``doc_id``) takes rows out of learning. The driver holds
-    at most ``per_class`` ids a class and their texts; the sample's ids are
-    joined to ``documents`` in one scan.
+    at most ``per_class`` texts a class; the sample's ids are joined to
+    ``documents`` in one scan.
     """
     chosen = balanced_sample(labels.filter(~excluded), by, per_class)
     rows = (
         documents.select("doc_id", "text").filter(F.col("text").isNotNull())
         .join(F.broadcast(chosen), "doc_id")  # at most per_class ids a class
-        .select("text", by).distinct().collect()
+        .groupBy("text", by).agg(F.min("doc_id").alias("doc_id")).collect()
     )
-    return sorted((r["text"], r[by]) for r in rows)
+    return sorted((r["text"], r[by], r["doc_id"]) for r in rows)
+
+
+def platt(x, y, weight) -> tuple[float, float]:
+    """``(slope, shift)`` of the weighted logistic fit of ``y`` on one value."""
+    import numpy as np
+
+    design, w = np.stack([x, np.ones(len(x))], 1), np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        grad = design.T @ (weight * (y - p)) - 1e-3 * w
+        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hess, grad)
+        w = w + np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(w[0]), float(w[1])
+
+
+def class_weight(labels: DataFrame, by: str, excluded: Column, y):
+    """Weights that give a balanced sample the classes' shares of all labels."""
+    import numpy as np
+
+    n = {r[by]: r["n"] for r in labels.filter(~excluded).filter(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("n")).collect()}
+    y = np.asarray(y)
+    have = {c: max(1, int((y == c).sum())) for c in (0, 1)}
+    w = np.array([n.get(int(c), 0) / have[int(c)] for c in y], float)
+    return w * len(w) / max(w.sum(), 1e-9)
 
 
 def map_texts(df: DataFrame, keep: list[str], fields: str, make, args: tuple = ()) -> DataFrame:

@@ -60,8 +60,8 @@ def strings(column) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Finds and hashes the words of many texts; ``table`` is from above."""
 
-    def __init__(self, table: np.ndarray):
-        self.table = table
+    def __init__(self, table: np.ndarray, prefixes: tuple[int, ...] = ()):
+        self.table, self.prefixes = table, prefixes
         self.length = 0
         self._grow(PIECE)
 
@@ -95,7 +95,9 @@ class Words:
             lo = cut
 
     def __call__(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Pieces ``(starts, ends, hashes)`` of all words, in order; positions in ``data``."""
+        """Pieces ``(starts, ends, hashes)`` of all words, in order; positions in
+        ``data``. For each of ``prefixes`` an array more: hashes of the first so
+        many bytes of longer words, 0 for others."""
         for lo, hi in self._cuts(data, at):
             n = hi - lo
             if n > self.length:
@@ -112,13 +114,18 @@ class Words:
             s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
             total = np.cumsum(value * self.power[:n], dtype=np.uint64)
             h = total[e - 1] - total[s] + value[s] * self.power[s]
-            yield s + lo, e + lo, mix64(h * self.inverse[s])
+            more = []
+            for k in self.prefixes:
+                longer = e - s > k
+                part = (total[np.minimum(s + k, n) - 1] - total[s] + value[s] * self.power[s]) * self.inverse[s]
+                more.append(np.where(longer, mix64(part + np.uint64(k)), np.uint64(0)))
+            yield s + lo, e + lo, mix64(h * self.inverse[s]), *more
 
     def all(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(starts, ends, hashes)`` of a whole batch."""
+        """``(starts, ends, hashes, ...)`` of a whole batch."""
         parts = list(self(data, at))
         if not parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * (1 + len(self.prefixes))
         return tuple(np.concatenate(p) for p in zip(*parts))
 
 
