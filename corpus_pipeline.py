@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings_lake.llm import bpe, decontaminate, quality, secrets, simhash
-from postings_lake.llm.common import crc_mod, shared_dir
+from postings_lake.llm.common import aside, crc_mod, shared_dir
 from postings_lake.llm.queries import table, tokenizer_path
 
 QUALITY_LIMIT = 0.7
@@ -30,41 +30,33 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model scores ``QUALITY_LIMIT`` or more."""
     raw, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.fit(raw, labels, excluded=crc_mod("doc_id", 4) == 2)
-    marked = quality.score(docs.withColumn("__own", F.struct(*docs.columns)), model, keep=["__own", "text"])
-    return marked.filter(F.col("score") >= QUALITY_LIMIT).select("__own.*")
+    packed, unpack = aside(docs)
+    return unpack(quality.score(packed, model).filter(F.col("score") >= QUALITY_LIMIT))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest ``doc_id`` of each near-duplicate group."""
-    found = simhash.near_duplicates(docs.withColumn("__own", F.struct(*docs.columns)), SHINGLE, MAX_BITS, keep=["doc_id", "__own"])
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Rows that share the id (repeated rows, or rows without ids) leave one for each fingerprint.
-    return first.groupBy("doc_id", "fp").agg(F.min("__own").alias("__own")).select("__own.*")
+    return simhash.one_of_each(docs, SHINGLE, MAX_BITS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose share of benchmark words stays below the limit."""
-    own = docs.withColumn("__own", F.struct(*docs.columns))
-    hits = decontaminate.find_hits(own, table(spark, sf_dir, "benchmark"), keep=["__own"])
-    return decontaminate.judge(hits).filter(~F.col("contaminated")).select("__own.*")
+    packed, unpack = aside(docs)
+    hits = decontaminate.find_hits(packed, table(spark, sf_dir, "benchmark"))
+    return unpack(decontaminate.judge(hits).filter(~F.col("contaminated")))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by ``MARK``; ``n_chars`` follows."""
     ratios = secrets.train(secrets.random_samples(spark).union(secrets.identifier_samples(docs)))
-    own = docs.select(F.struct(*docs.columns).alias("__own"), F.col("text"))
-    found = secrets.scan(own, ratios).withColumn("__clean", secrets.redacted(F.col("text"), F.col("spans")))
+    packed, unpack = aside(docs)
+    found = secrets.scan(packed, ratios)
     changed = F.size("spans") > 0
-
-    def column(c: str):
-        value = F.col(f"__own.{c}")
-        if c == "text":
-            value = F.when(changed, F.col("__clean")).otherwise(value)
-        elif c == "n_chars":
-            value = F.when(changed, F.length("__clean").cast(docs.schema[c].dataType)).otherwise(value)
-        return value.alias(c)
-
-    return found.select(*map(column, docs.columns))
+    found = found.withColumn("text", F.when(changed, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("__n_chars", F.when(changed, length).otherwise(F.col("__n_chars")))
+    return unpack(found)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,6 +132,14 @@ def map_texts(df: DataFrame, keep: list[str], fields: str, make, args: tuple = (
     return df.select(*needed).mapInArrow(run, schema)
 
 
+def aside(df: DataFrame):
+    """``df`` with its columns (but ``text``) under names no operator uses, and
+    the function that restores them, dropping all others."""
+    names = [(c, c if c == "text" else f"__{c}") for c in df.columns]
+    packed = df.select(*[F.col(c).alias(n) for c, n in names])
+    return packed, lambda out: out.select(*[F.col(n).alias(c) for c, n in names])
+
+
 class Shared:
     """A broadcast model. It travels as bytes with its classes, so workers need
     no copy of this package; callers bound the model's size."""

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings_lake.llm.common import Shared, map_texts, stored
+from postings_lake.llm.common import Shared, aside, map_texts, stored
 from postings_lake.llm.textarrays import strings
 
 SHARD = 8192
@@ -233,20 +233,35 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("b"), F.col("b")).distinct())
 
 
-def near_duplicates(documents: DataFrame, shingle: int = 3, bits: int = 3, keep: list[str] | None = None,
-                    shard: int = SHARD) -> DataFrame:
-    """``keep`` columns (default: ``doc_id``) plus ``fp`` and ``component_id``,
-    the smallest ``doc_id`` reachable over links of at most ``bits`` bits."""
-    keep = ["doc_id"] if keep is None else keep
-    fps = stored(fingerprints(documents, shingle, ["doc_id"]), "fingerprints")
+def component_of(fps: DataFrame, bits: int, shard: int = SHARD) -> DataFrame:
+    """``(fp, component_id)`` of every distinct fingerprint of ``fps (doc_id, fp)``."""
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(shard_links(distinct, bits, shard))
     placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    placed = placed.join(named, "root").select("fp", "component_id")
-    rows = fps if keep == ["doc_id"] else fingerprints(documents, shingle, keep)
-    return rows.join(placed, "fp").select(*keep, "fp", "component_id")
+    return placed.join(named, "root").select("fp", "component_id")
+
+
+def near_duplicates(documents: DataFrame, shingle: int = 3, bits: int = 3, shard: int = SHARD) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id``, the smallest ``doc_id`` reachable
+    over links of at most ``bits`` bits, of every row."""
+    fps = stored(fingerprints(documents, shingle, ["doc_id"]), "fingerprints")
+    return fps.join(component_of(fps, bits, shard), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(documents: DataFrame, shingle: int = 3, bits: int = 3, shard: int = SHARD) -> DataFrame:
+    """``documents`` with one row of each component: that of its smallest
+    ``doc_id``. Where no member has an id, one row of each fingerprint stays; of
+    rows that repeat the id, the smallest by its columns."""
+    packed, unpack = aside(documents)
+    rows = stored(fingerprints(packed.withColumn("__id", F.coalesce("__doc_id", F.lit(-2**63))), shingle), "fingerprints")
+    fps = rows.select(F.col("__doc_id").alias("doc_id"), "fp")
+    first = fps.distinct().join(component_of(fps, bits, shard), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.select(F.coalesce("doc_id", F.lit(-2**63)).alias("__id"), "fp")
+    kept = rows.join(first, ["__id", "fp"], "left_semi")
+    value = F.struct(*[c for c in kept.columns if c not in ("__id", "fp")])
+    return unpack(kept.groupBy("__id", "fp").agg(F.min(value).alias("row")).select("row.*"))
 
 
 def brute_force(rows: list[tuple], shingle: int = 3, bits: int = 3) -> dict:
