@@ -1,6 +1,6 @@
 """Column factories: each returns a ``pyspark.sql.Column`` built from
 built-in functions, so it composes into any select and stays in codegen."""
-from postings_lake.functions.dates import first_of_month, posted_date
+from postings_lake.functions.dates import posted_date
 from postings_lake.functions.lexicon import (
     CLOUD_SKILLS,
     SENIORITY_CLASSES,
@@ -11,10 +11,10 @@ from postings_lake.functions.lexicon import (
     skill_text,
     skills,
 )
-from postings_lake.functions.text import clean, clean_lower, contains_term, is_blank
+from postings_lake.functions.text import clean, clean_lower, contains_term
 
 __all__ = [
     "CLOUD_SKILLS", "SENIORITY_CLASSES", "SKILL_TAXONOMY", "boundary_pattern", "clean",
-    "clean_lower", "clouds", "contains_term", "first_of_month", "is_blank", "posted_date",
+    "clean_lower", "clouds", "contains_term", "posted_date",
     "seniority", "skill_text", "skills",
 ]

@@ -1,8 +1,6 @@
-"""Tolerant date parsing and calendar helpers."""
+"""Tolerant date parsing."""
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,11 +16,3 @@ def posted_date(created: Column | str) -> Column:
     c = F.col(created) if isinstance(created, str) else created
     return c.try_cast("date")
 
-
-def first_of_month(d: Column | str) -> Column:
-    c = F.col(d) if isinstance(d, str) else d
-    return F.trunc(c, "month")
-
-
-def as_date_literal(d: dt.date | str) -> Column:
-    return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(d))

@@ -180,9 +180,14 @@ def skills(
     return F.concat(*parts)
 
 
-def clouds(skill_array: Column | str, cloud_names: Sequence[str] = CLOUD_SKILLS) -> Column:
-    """The cloud platforms among ``skill_array``, in the array's order."""
-    return F.array_intersect(_col(skill_array), F.array(*[F.lit(c) for c in sorted(cloud_names)]))
+def clouds(
+    text: Column | str,
+    cloud_names: Sequence[str] = CLOUD_SKILLS,
+    taxonomy: Mapping[str, Sequence[str]] = SKILL_TAXONOMY,
+) -> Column:
+    """The cloud platforms among the skills of ``text``: only their names are
+    searched for."""
+    return skills(text, {c: taxonomy[c] for c in cloud_names if c in taxonomy})
 
 
 def seniority(

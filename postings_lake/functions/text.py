@@ -26,8 +26,3 @@ def contains_term(c: Column | str, term: str) -> Column:
     """
     return F.lower(F.coalesce(_col(c), F.lit(""))).contains(F.lit(term))
 
-
-def is_blank(c: Column | str) -> Column:
-    """Null or empty after stripping spaces."""
-    x = _col(c)
-    return x.isNull() | (F.trim(x) == F.lit(""))

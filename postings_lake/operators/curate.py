@@ -90,6 +90,14 @@ def dedupe(bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
     return newest_per_key(keyed(bronze, spec), spec.key, "ingested_at", order=spec.order)
 
 
+def merge(silver: DataFrame, bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
+    """``silver`` brought up to date with new bronze rows only: the newest of the
+    stored rows and the curated new ones. The same result as curating the whole
+    history, unless an old and a new copy of a key share ``ingested_at``."""
+    both = silver.select(*SILVER_COLUMNS).unionByName(curate(bronze, spec))
+    return newest_per_key(both, spec.key, "ingested_at", order=spec.order)
+
+
 def normalized(df: DataFrame) -> DataFrame:
     """Trim title and company; trim and lower-case the country code."""
     return df.withColumns(
@@ -106,20 +114,16 @@ def enrich(df: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
 
     Expects normalised text (skills and seniority read the trimmed title).
     """
-    skill_arr = lexicon.skills(lexicon.skill_text("title", "description"), spec.taxonomy)
+    searched = lexicon.skill_text("title", "description")
     out = df.withColumns(
         {
             "posted_date": dates.posted_date("created"),
             "seniority": lexicon.seniority("title", spec.seniority_classes),
-            "skills": skill_arr,
-        }
-    )
-    return out.withColumns(
-        {
-            "clouds": lexicon.clouds("skills", spec.cloud_names),
-            "skill_count": F.size("skills").cast("int"),
+            "skills": lexicon.skills(searched, spec.taxonomy),
+            "clouds": lexicon.clouds(searched, spec.cloud_names, spec.taxonomy),
         }
     )
+    return out.withColumn("skill_count", F.size("skills").cast("int"))
 
 
 def curate(bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:

@@ -84,7 +84,7 @@ def _term(s: str) -> str:
     return s.strip().lower()
 
 
-def search_condition(spec: SearchSpec, start: dt.date, end: dt.date) -> Column:
+def search_condition(spec: SearchSpec, start: Column, end: Column) -> Column:
     conds: list[Column] = []
     if spec.countries:
         conds.append(F.col("country_code").isin(list(spec.countries)))
@@ -109,22 +109,23 @@ def search_condition(spec: SearchSpec, start: dt.date, end: dt.date) -> Column:
                 | text.contains_term(F.col("skills").cast("string"), t)
             )
         )
-    conds.append(F.col("posted_date").between(F.lit(start), F.lit(end)))
+    conds.append(F.col("posted_date").between(start, end))
     out = conds[0]
     for c in conds[1:]:
         out = out & c
     return out
 
 
-def resolve_range(curated: DataFrame, posted) -> tuple[dt.date, dt.date]:
-    """The inclusive date range of a spec; ``None`` reads the default range
-    (one aggregate row)."""
+def resolve_range(curated: DataFrame, posted) -> tuple[Column, Column]:
+    """The inclusive date range of a spec. ``None`` is the default range, as a
+    one-row subquery of the plan itself: nothing runs before the search does.
+    It reads ``curated`` once more, so search stored silver."""
     if posted is None:
-        b = date_bounds(curated).first()
-        return b["default_start"], b["default_end"]
+        bounds = date_bounds(curated).select(F.struct("default_start", "default_end").alias("bounds")).scalar()
+        return bounds.getField("default_start"), bounds.getField("default_end")
     if isinstance(posted, (tuple, list)) and len(posted) == 2:
-        return posted[0], posted[1]
-    return posted, posted
+        return F.lit(posted[0]), F.lit(posted[1])
+    return F.lit(posted), F.lit(posted)
 
 
 def apply_search(curated: DataFrame, spec: SearchSpec) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -106,7 +106,8 @@ def _tagged_union_schema(specs: Sequence[MartSpec], curated: DataFrame) -> list[
                 t = curated.schema[s.explode[0]].dataType.elementType.simpleString()
             else:
                 t = curated.schema[k].dataType.simpleString()
-            types.setdefault(k, t)
+            if types.setdefault(k, t) != t:
+                raise ValueError(f"mart key {k!r} is {types[k]} in one mart and {t} in {s.name!r}")
     return list(types.items())
 
 
@@ -170,3 +171,39 @@ def build_marts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> dict[s
         part = agg.where(F.col("__mart") == i).select(*s.keys, F.col("__n").alias(s.measure))
         out[s.name] = order_mart(part, s)
     return out
+
+
+def gold_all(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> DataFrame:
+    """All marts in one table: ``mart``, every key column (null where a mart
+    lacks it) and the count ``n``; one scan and one shuffle."""
+    keys = [c for c, _ in _tagged_union_schema(specs, curated)]
+    names = F.array(*[F.lit(s.name) for s in specs])
+    return build_marts(curated, specs)["__all__"].select(
+        F.get(names, F.col("__mart")).alias("mart"), *keys, F.col("__n").alias("n"))
+
+
+def mart_previews(curated: DataFrame, rows: int, specs: Sequence[MartSpec] = MARTS) -> DataFrame:
+    """The first ``rows`` rows of every mart in its own order, with the mart's
+    row count beside each: ``mart, position, key_1, key_2, ..., n, mart_rows``.
+
+    Keys come as text, in the order of the mart's spec. Each task keeps its own
+    first rows of a mart before they meet; the counts are summed map-side.
+    """
+    every, width = gold_all(curated, specs), max(len(s.keys) for s in specs)
+
+    def by_mart(value) -> Column:
+        out = None
+        for s in specs:
+            out = (out.when if out is not None else F.when)(F.col("mart") == s.name, value(s))
+        return out
+
+    def key(s: MartSpec, i: int) -> Column:
+        return F.col(s.keys[i]).cast("string") if i < len(s.keys) else F.lit(None).cast("string")
+
+    named = every.select("mart", "n", *[by_mart(lambda s, i=i: key(s, i)).alias(f"key_{i + 1}") for i in range(width)])
+    most_first = by_mart(lambda s: F.lit(0) if s.order == "key" else -F.col("n"))
+    first_key = F.when(F.col("mart").isin([s.name for s in specs if s.order == "key_then_count"]), F.col("key_1"))
+    order = [first_key.asc_nulls_first(), most_first.asc(), *[F.col(f"key_{i + 1}").asc_nulls_first() for i in range(width)]]
+    top = named.withColumn("position", F.row_number().over(Window.partitionBy("mart").orderBy(*order))).where(F.col("position") <= rows)
+    sizes = named.groupBy("mart").agg(F.count(F.lit(1)).alias("mart_rows"))
+    return top.join(sizes, "mart").select("mart", "position", *[f"key_{i + 1}" for i in range(width)], "n", "mart_rows")

@@ -5,14 +5,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, AtomicType, DataType, StringType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
-_RANK = "__newest_rank"
+_RANK, _TIE = "__newest_rank", "__newest_tie"
 
 
-def _orderable(t: DataType) -> bool:
-    """Types the tie-break sorts on: atomic values and arrays of them."""
-    return isinstance(t, AtomicType) or (isinstance(t, ArrayType) and isinstance(t.elementType, AtomicType))
+def _hashable(t: DataType) -> bool:
+    """Types Spark hashes: all but maps and what contains them."""
+    if isinstance(t, MapType):
+        return False
+    if isinstance(t, ArrayType):
+        return _hashable(t.elementType)
+    return all(_hashable(f.dataType) for f in t.fields) if isinstance(t, StructType) else True
 
 
 def _order_value(df: DataFrame, order_col: str, order: str) -> Column:
@@ -45,10 +49,10 @@ def newest_per_key(
     column leads the binary sort prefix (a low-cardinality first key turns
     every comparison into a full-row comparison).
 
-    With ``tie_break`` every remaining column of an orderable type (atomic,
-    or an array of atomic values) is appended
-    to the ordering, so only fully equal rows tie and reruns return the same
-    rows.
+    With ``tie_break`` rows that share key and order value are ordered by two
+    hashes of their other columns (maps excepted), so only equal rows tie and
+    reruns return the same rows. The hashes are computed at the scan: of the
+    other columns only those that the caller uses cross the shuffle.
 
     The ``row_number() = 1`` filter is planned by Catalyst as a partial
     ``WindowGroupLimit`` before the shuffle and a final one after it: each map
@@ -60,11 +64,9 @@ def newest_per_key(
     if order == "timestamp":
         ordering.append(F.col(order_col).desc_nulls_last())
     if tie_break:
-        skip = set(keys) | {order_col}
-        ordering += [
-            F.col(f.name).asc_nulls_first()
-            for f in df.schema.fields
-            if f.name not in skip and _orderable(f.dataType)
-        ]
+        rest = [F.col(f.name) for f in df.schema.fields if f.name not in {*keys, order_col} and _hashable(f.dataType)]
+        if rest:
+            df = df.withColumn(_TIE, F.struct(F.xxhash64(*rest).alias("a"), F.hash(*rest).alias("b")))
+            ordering.append(F.col(_TIE).asc())
     w = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) == 1).drop(_RANK)
+    return df.withColumn(_RANK, F.row_number().over(w)).where(F.col(_RANK) == 1).drop(_RANK, _TIE)

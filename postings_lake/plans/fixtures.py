@@ -3,7 +3,7 @@ consumes: ``postings`` (bronze rows, from ``lineitem``) and ``landed_pages``
 (raw search pages, from ``orders``).
 
 The Spark side is written with the DataFrame API; the same rules as SQL text
-(:data:`POSTINGS_SQL`, :data:`LANDED_PAGES_SQL`) feed the DuckDB oracles, so
+(:data:`POSTINGS_SQL`; the pages' rules stand with their oracles) feed the DuckDB oracles, so
 the two independent spellings cross-check each other on every comparison.
 Both only derive column values; no row is dropped or sampled.
 """
@@ -20,39 +20,8 @@ TABLES = (
 )
 
 
-# The driver's test files each hold a single parquet row group, and a row
-# group is read by one task whatever its size: every per-row step before the
-# first shuffle would run on one core. Inputs below this size are spread over
-# the cluster's cores right after the scan (cheap at this size); larger inputs
-# keep the scan's own splits and are never reshuffled.
-SPREAD_BELOW_BYTES = 1 << 30
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small(df)
-
-
-def spread_small(df: DataFrame, below_bytes: int = SPREAD_BELOW_BYTES) -> DataFrame:
-    """Hash-partition a small scan on its row position.
-
-    The position (``monotonically_increasing_id``) is unique per row, so
-    duplicate rows cannot pile up in one task the way they would when hashing
-    the row's values, and it is stable across task retries for a file scan;
-    unlike a round-robin repartition it needs no local sort first.
-    """
-    size = estimated_bytes(df)
-    if size is None or size > below_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.monotonically_increasing_id())
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes for a scan), if known."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # not available through this session type
-        return None
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(value: Column, mapping: Mapping[int, object], default: object) -> Column:
@@ -115,12 +84,15 @@ def postings(lineitem: DataFrame) -> DataFrame:
 def landed_pages(orders: DataFrame) -> DataFrame:
     """Raw search pages ``(country, page, body, ingested_at)`` (B2 in FIXTURES.md).
 
-    Covers empty and absent result lists, null/absent company, areas of length
-    0, 1 and 3, salaries as number, numeric string and absent, and a null id.
+    Covers several runs with different empty pages, null countries, bodies that
+    are not JSON or have the wrong shape, empty and absent result lists,
+    null/absent company, areas of length 0, 1 and 3, salaries as number, numeric
+    string and absent, and a null id.
     """
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     page = ok % 1000
-    empty = (page >= F.lit(700) + F.lit(50) * (ck % 4)) & (ok % 7 == 0)
+    run = F.floor(ok / 1000) % 3
+    empty = (page >= F.lit(700) + F.lit(50) * (ck % 4) + F.lit(20) * run) & (ok % 7 == 0)
     company = (
         F.when(ck % 5 == 0, F.lit(',"company":null'))
         .when(ck % 5 == 1, F.lit(""))
@@ -136,14 +108,17 @@ def landed_pages(orders: DataFrame) -> DataFrame:
         salary,
         F.lit('},{"id":null,"title":"no id"}]}'),
     )
-    body = F.when(
-        empty, F.when(ok % 2 == 0, F.lit('{"results":[]}')).otherwise(F.lit('{"count":0}'))
-    ).otherwise(full)
+    body = (
+        F.when(ok % 101 == 0, F.lit("{not json"))
+        .when(ok % 103 == 0, F.lit('{"results":[{"id":1,"company":"a text"}]}'))
+        .when(empty, F.when(ok % 2 == 0, F.lit('{"results":[]}')).otherwise(F.lit('{"count":0}')))
+        .otherwise(full)
+    )
     return orders.select(
-        _case(ck % 4, {0: "gb", 1: "de", 2: "nl"}, "fr").alias("country"),
+        F.when(ck % 17 != 0, _case(ck % 4, {0: "gb", 1: "de", 2: "nl"}, "fr")).alias("country"),
         page.cast("bigint").alias("page"),
         body.alias("body"),
-        F.lit("2026-06-24T00:00:00Z").alias("ingested_at"),
+        F.concat(F.lit("2026-06-2"), run.cast("string"), F.lit("T00:00:00Z")).alias("ingested_at"),
     )
 
 
@@ -185,20 +160,3 @@ select
   cast(cast(l_shipdate as date) as string) || 'T0' || cast(l_linenumber as string) || ':00:00.' || cast(100000 + l_partkey as string) || 'Z' as ingested_at
 from lineitem
 """
-
-LANDED_PAGES_SQL = """
-select
-  case o_custkey % 4 when 0 then 'gb' when 1 then 'de' when 2 then 'nl' else 'fr' end as country,
-  cast(o_orderkey % 1000 as bigint) as page,
-  case when o_orderkey % 1000 >= 700 + 50 * (o_custkey % 4) and o_orderkey % 7 = 0
-    then case when o_orderkey % 2 = 0 then '{"results":[]}' else '{"count":0}' end
-    else '{"results":[{"id":' || cast(o_orderkey as string) || ',"title":"Role ' || o_orderstatus || '"'
-      || case when o_custkey % 5 = 0 then ',"company":null' when o_custkey % 5 = 1 then ''
-           else ',"company":{"display_name":"C' || cast(o_custkey as string) || '"}' end
-      || ',"location":{"display_name":"L","area":'
-      || case o_custkey % 3 when 0 then '[]' when 1 then '["DE"]' else '["DE","BE","Berlin"]' end || '}'
-      || case o_custkey % 3 when 0 then ',"salary_min":45000' when 1 then ',"salary_min":"45000.5"' else '' end
-      || '},{"id":null,"title":"no id"}]}' end as body,
-  '2026-06-24T00:00:00Z' as ingested_at
-from orders
-"""

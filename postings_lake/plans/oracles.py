@@ -3,45 +3,77 @@
 Each oracle is ANSI-ish SQL that DuckDB runs over the driver's parquet views.
 It starts from the adapter SQL (:mod:`postings_lake.plans.fixtures`) and
 re-derives the curated rows with DuckDB's own window, regex (RE2) and cast
-machinery, so it checks the Spark plans instead of repeating them. Shared with
-the Spark side are only the fixed values: the taxonomy, the seniority words
-and the boundary character classes.
+machinery, so it checks the Spark plans instead of repeating them. The patterns
+are spelled out here, in RE2; nothing of them comes from the code under test.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from postings_lake.functions import lexicon
-from postings_lake.plans.fixtures import LANDED_PAGES_SQL, POSTINGS_SQL
+from postings_lake.plans.fixtures import POSTINGS_SQL
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def skills_list_sql(text_sql: str, taxonomy: Mapping[str, Sequence[str]] = lexicon.SKILL_TAXONOMY) -> str:
+# FIXED VALUES: skill names and the text that stands for each, as RE2.
+SKILLS_RE2 = {
+    "AWS": "aws|redshift|glue|s3",
+    "Airflow": "airflow",
+    "Azure": "azure|adf|azure data factory|synapse",
+    "CI/CD": "ci/cd|ci cd|github actions|gitlab ci",
+    "Databricks": "databricks",
+    "Delta Lake": "delta lake|delta tables?",
+    "Docker": "docker",
+    "Flink": "flink",
+    "GCP": "gcp|google cloud|bigquery",
+    "Hadoop": "hadoop",
+    "Hive": "hive",
+    "Java": "java",
+    "Kafka": "kafka",
+    "Kubernetes": "kubernetes|k8s",
+    "Microsoft Fabric": "microsoft fabric|ms fabric",
+    "MongoDB": "mongodb|mongo",
+    "MySQL": "mysql",
+    "PostgreSQL": "postgresql|postgres",
+    "Power BI": "power bi|powerbi",
+    "PySpark": "pyspark",
+    "Python": "python",
+    "SQL": "sql",
+    "Scala": "scala",
+    "Snowflake": "snowflake",
+    "Spark": "spark|apache spark",
+    "Tableau": "tableau",
+    "Terraform": "terraform",
+    "dbt": "dbt",
+}
+CLOUDS = ("AWS", "Azure", "GCP")
+# Test names for the documents table.
+DOCUMENT_RE2 = SKILLS_RE2 | {"Aiaux": "aiaux|ouier", "Anble": "anble|inble", "Ciónmente": "ciónmente", "Enach": "enach"}
+
+
+def skills_list_sql(text_sql: str, patterns: dict[str, str] = SKILLS_RE2) -> str:
     cases = ",\n      ".join(
-        f"case when regexp_matches({text_sql}, {_q(lexicon.boundary_pattern(taxonomy[n], dialect='re2'))}) "
-        f"then {_q(n)} end"
-        for n in sorted(taxonomy)
-    )
+        f"case when regexp_matches({text_sql}, "
+        + _q(r"(?i)(?:^|[^\p{L}\p{N}_])(?:" + patterns[name] + r")(?:$|[^\p{L}\p{N}_])") + f") then {_q(name)} end"
+        for name in sorted(patterns))
     return f"list_filter([\n      {cases}], lambda x: x is not null)"
 
 
 def seniority_sql(title_sql: str) -> str:
-    whens = " ".join(
-        f"when regexp_matches(lower({title_sql}), "
-        f"{_q(lexicon.boundary_pattern(words, lexicon.SENIORITY_WORD_CLASS, dialect='re2', ignore_case=False))}) "
-        f"then {_q(label)}"
-        for label, words in lexicon.SENIORITY_CLASSES
-    )
-    return f"case {whens} else {_q(lexicon.SENIORITY_DEFAULT)} end"
+    t = f"lower({title_sql})"
+    return rf"""case
+      when regexp_matches({t}, '(?:^|[^\p{{L}}\p{{Nd}}_])(?:junior|graduate|entry|trainee|intern)(?:$|[^\p{{L}}\p{{Nd}}_])') then 'junior'
+      when regexp_matches({t}, '(?:^|[^\p{{L}}\p{{Nd}}_])(?:senior|lead|principal|staff|head)(?:$|[^\p{{L}}\p{{Nd}}_])') then 'senior'
+      when regexp_matches({t}, '(?:^|[^\p{{L}}\p{{Nd}}_])(?:medior|mid level|mid-level|midlevel)(?:$|[^\p{{L}}\p{{Nd}}_])') then 'mid'
+      else 'unspecified' end"""
 
 
 def curated_ctes(key: Sequence[str] = ("source_name", "source_id")) -> str:
     """CTEs ``postings``, ``keyed``, ``newest``, ``norm``, ``cur`` (19 curated
     columns, arrays as DuckDB lists)."""
-    clouds = ", ".join(_q(c) for c in sorted(lexicon.CLOUD_SKILLS))
+    clouds = ", ".join(map(_q, CLOUDS))
     return f"""
 postings as ({POSTINGS_SQL}),
 keyed as (
@@ -82,6 +114,3 @@ cur as (
 def with_cur(select_sql: str) -> str:
     return "with " + curated_ctes() + "\n" + select_sql
 
-
-def with_pages(select_sql: str) -> str:
-    return f"with pages_in as ({LANDED_PAGES_SQL})\n" + select_sql

@@ -82,7 +82,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_landed_postings(spark, sf_dir):
-    p = landing.landed_postings(_pages(spark, sf_dir))
+    p = landing.landed_postings(_pages(spark, sf_dir), mode="PERMISSIVE")
     return p.select(
         "country", "page", "ingested_at",
         F.col("posting.id").alias("source_id"), F.col("posting.title").alias("title"),
@@ -90,12 +90,26 @@ def q_landed_postings(spark, sf_dir):
 
 
 def q_page_cutoff(spark, sf_dir):
-    kept = landing.cutoff_pages(_pages(spark, sf_dir), max_pages=ORACLE_MAX_PAGES)
-    return kept.select("country", "page", F.coalesce(F.size("results"), F.lit(0)).alias("n_results"))
+    kept = landing.cutoff_pages(_pages(spark, sf_dir), max_pages=ORACLE_MAX_PAGES, mode="PERMISSIVE")
+    return kept.select("country", "page", "ingested_at", F.coalesce(F.size("results"), F.lit(0)).alias("n_results"))
+
+
+def q_page_rejects(spark, sf_dir):
+    return landing.rejects(_pages(spark, sf_dir))
 
 
 def q_flatten_posting(spark, sf_dir):
-    return landing.pages_to_bronze(_pages(spark, sf_dir), max_pages=ORACLE_MAX_PAGES)
+    return landing.flatten(landing.landed_postings(_pages(spark, sf_dir), mode="PERMISSIVE"))
+
+
+def q_silver_incremental(spark, sf_dir):
+    rows = fixtures.table(spark, sf_dir, "lineitem")
+    old = cur_ops.curate(fixtures.postings(rows.where("l_linenumber % 2 = 0")))
+    return flat(cur_ops.merge(old, fixtures.postings(rows.where("l_linenumber % 2 = 1"))))
+
+
+def q_gold_all(spark, sf_dir):
+    return marts.gold_all(curated(spark, sf_dir))
 
 
 def q_normalize(spark, sf_dir):
@@ -154,6 +168,14 @@ def q_silver_viewer(spark, sf_dir):
     return flat(explore.viewer(curated(spark, sf_dir)))
 
 
+def q_explore_default_range(spark, sf_dir):
+    return explore.apply_search(curated(spark, sf_dir), explore.SearchSpec()).select(*_SEARCH_COLS)
+
+
+def q_mart_previews(spark, sf_dir):
+    return marts.mart_previews(curated(spark, sf_dir), explore.PREVIEW_ROWS)
+
+
 def q_mart_preview(spark, sf_dir):
     return explore.preview(marts.build_mart(curated(spark, sf_dir), marts.TOP_COMPANIES))
 
@@ -194,6 +216,7 @@ QUERIES: dict[str, Query] = {
     # landing (S1-S3)
     "landed_postings": q_landed_postings,
     "page_cutoff": q_page_cutoff,
+    "page_rejects": q_page_rejects,
     "flatten_posting": q_flatten_posting,
     # curation (P1-P4, W1, F1-F6)
     "newest_per_key": lambda spark, sf_dir: deduped(spark, sf_dir),
@@ -204,8 +227,11 @@ QUERIES: dict[str, Query] = {
     "skill_count": _cols("source_name", "source_id", "skill_count"),
     "clouds": _cols("source_name", "source_id", "clouds"),
     "silver": lambda spark, sf_dir: flat(curated(spark, sf_dir)),
+    "silver_incremental": q_silver_incremental,
     # marts (A1-A5)
     **{m.name: _mart(m.name) for m in marts.MARTS},
+    "gold_all": q_gold_all,
+    "mart_previews": q_mart_previews,
     # gate (G1-G6, A7, F10)
     "quality_metrics": q_quality_metrics,
     "quality_checks": q_quality_checks,
@@ -215,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "date_bounds": q_date_bounds,
     "explore_filter": q_explore_filter,
     "explore_keyword": q_explore_keyword,
+    "explore_default_range": q_explore_default_range,
     "explore_metrics": q_explore_metrics,
     "explore_listing": q_explore_listing,
     "mart_preview": q_mart_preview,

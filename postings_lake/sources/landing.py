@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from postings_lake.operators.curate import BRONZE_SCHEMA, DEFAULT_SOURCE
-from postings_lake.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 # Scalars that may arrive as numbers are declared as strings: the JSON reader
 # keeps a number's text (12345 -> "12345", long ids keep every digit), and the
@@ -60,8 +59,8 @@ LANDED_PAGE_SCHEMA = StructType(
     ]
 )
 
-# FIXED VALUES: defaults of a fetch run.
-DEFAULT_MAX_PAGES = 3
+# Holds the text of a body that does not fit the schema it is parsed with.
+_CORRUPT = "__corrupt"
 
 
 def read_pages(spark: SparkSession, path: str, file_format: str = "json") -> DataFrame:
@@ -77,20 +76,36 @@ def stamp_run(pages: DataFrame, ingested_at: str | None = None) -> DataFrame:
     return pages.withColumn("ingested_at", F.lit(at))
 
 
+def _checked(body: Column, schema: StructType) -> Column:
+    """``body`` parsed without failing; ``_CORRUPT`` is set where it does not fit."""
+    marked = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    return F.from_json(body, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _fits(body: Column, parsed: Column) -> Column:
+    """A JSON object of the parsed schema (null bodies and lists do not fit)."""
+    return F.coalesce(F.ltrim(body).startswith("{") & parsed.getField(_CORRUPT).isNull(), F.lit(False))
+
+
 def decode(pages: DataFrame, body: str = "body", mode: str = "FAILFAST") -> DataFrame:
     """Add ``results`` (array of posting structs) parsed from ``body``.
 
-    ``mode="FAILFAST"`` fails the job on a malformed body; ``"PERMISSIVE"``
-    yields a null ``results`` (see :func:`rejects`).
+    ``mode="FAILFAST"`` fails the job on a body that is not JSON or has the
+    wrong shape; ``"PERMISSIVE"`` gives such a page null ``results`` (see
+    :func:`rejects`). A null body has null ``results`` in both modes.
     """
-    parsed = F.from_json(F.col(body), PAGE_SCHEMA, {"mode": mode})
-    return pages.withColumn("results", parsed.getField("results"))
+    if mode == "FAILFAST":
+        results = F.from_json(F.col(body), PAGE_SCHEMA, {"mode": mode}).getField("results")
+    else:
+        parsed = _checked(F.col(body), PAGE_SCHEMA)
+        results = F.when(_fits(F.col(body), parsed), parsed.getField("results"))
+    return pages.withColumn("results", results)
 
 
 def rejects(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Pages whose body is not valid JSON (null bodies included); use with
-    ``mode="PERMISSIVE"`` to route them aside instead of failing."""
-    return pages.where(F.col(body).isNull() | F.get_json_object(F.col(body), "$").isNull())
+    """Pages that ``PERMISSIVE`` does not decode: the body is null, not JSON, or
+    JSON of another shape."""
+    return pages.where(~_fits(F.col(body), _checked(F.col(body), PAGE_SCHEMA)))
 
 
 def is_empty_page(results: Column) -> Column:
@@ -121,29 +136,34 @@ def landed_postings(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
 
 def cutoff_pages(
     pages: DataFrame,
-    max_pages: int = DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
     mode: str = "FAILFAST",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    run: str = "ingested_at",
 ) -> DataFrame:
-    """Pages a paging fetch would have read: numbers up to ``max_pages``, and
-    per country nothing at or after the first empty page.
-
-    The first empty page per country is a partial/final ``min`` aggregate
-    (one row per country) over a skim parse of the bodies, joined back as a
-    broadcast when its size bound holds. A window over ``country`` would
-    instead put each country (a third of all pages, say) into one task.
+    """Pages a paging fetch would have read, decoded: numbers from 1 (up to
+    ``max_pages``, if given), and for each country of each ``run`` nothing at or
+    after its first empty page.
+
+    Only a body that decodes can be an empty page; a reject is not one. The
+    bodies are counted with a schema that skips every posting's fields; the first
+    empty page of each (country, run) is a partial/final ``min``, joined back
+    (null-safe) by the strategy the planner finds right. Full decoding comes
+    after the cut, so a malformed page beyond it cannot fail the job.
     """
-    in_range = pages.where(F.col("page") <= max_pages)
-    skim = F.from_json(F.col("body"), SKIM_SCHEMA, {"mode": mode}).getField("results")
+    in_range = pages.where(F.col("page") >= 1)
+    if max_pages is not None:
+        in_range = in_range.where(F.col("page") <= max_pages)
+    of_run = F.col(run) if run in pages.columns else F.lit(None).cast("string")
+    skim = _checked(F.col("body"), SKIM_SCHEMA)
     first_empty = (
-        in_range.where(is_empty_page(skim))
-        .groupBy("country")
+        in_range.where(_fits(F.col("body"), skim) & is_empty_page(skim.getField("results")))
+        .groupBy(F.col("country").alias("__country"), of_run.alias("__run"))
         .agg(F.min("page").alias("__first_empty"))
     )
-    first_empty = bounded_broadcast(first_empty, max_broadcast_rows)
-    joined = decode(in_range, mode=mode).join(first_empty, on="country", how="left")
+    same = F.col("country").eqNullSafe(F.col("__country")) & of_run.eqNullSafe(F.col("__run"))
     keep = F.col("__first_empty").isNull() | (F.col("page") < F.col("__first_empty"))
-    return joined.where(keep).drop("__first_empty")
+    kept = in_range.join(first_empty, same, "left").where(keep).select(*pages.columns)
+    return decode(kept, mode=mode)
 
 
 def flatten(
@@ -184,11 +204,11 @@ def flatten(
 
 def pages_to_bronze(
     pages: DataFrame,
-    max_pages: int = DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
     source: str = DEFAULT_SOURCE,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Cut-off, unnest and flatten: the bronze rows of one landed run."""
+    """Cut-off, unnest and flatten: the bronze rows of landed runs."""
     kept = cutoff_pages(pages, max_pages, mode=mode)
     exploded = unnest_results(kept, "country", "ingested_at")
     return flatten(exploded, source=source)

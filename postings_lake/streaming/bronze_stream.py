@@ -10,11 +10,13 @@ Delivery is at-least-once: if a micro-batch is retried after a failure its rows
 may be appended twice. Bronze is an audit history and silver keeps one row per
 key with a total order, so a replayed batch never changes silver.
 
-The cut-off is computed per micro-batch, so the files of one run should land
-together (``max_files_per_trigger`` unset, the default).
+The cut-off looks at one run at a time, within a micro-batch; a batch takes every
+file that has landed, so the files of one run should be moved in together.
 """
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -25,11 +27,17 @@ from postings_lake.sources.tables import Layout
 LANDED_PAGE_SCHEMA = landing.LANDED_PAGE_SCHEMA
 
 
-def default_checkpoint(spark: SparkSession, name: str = "bronze_stream") -> str:
-    """``<spark.checkpoint.dir>/streams/<name>``: the cluster's shared folder."""
-    from postings_lake.plans.flow import ensure_checkpoint_dir
+def stream_id(landing_dir: str, layout: Layout) -> str:
+    """The same name for the same folder and lake in every process."""
+    return "bronze_" + hashlib.sha256(f"{landing_dir}\n{layout.root}".encode()).hexdigest()[:16]
+
+
+def default_checkpoint(spark: SparkSession, landing_dir: str, layout: Layout) -> str:
+    """``<spark.checkpoint.dir>/streams/<stream_id>``: a folder of its own for
+    each landing folder and lake, on the cluster's shared storage."""
+    from postings_lake.plans.flow import shared_checkpoint_dir
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    return f"{shared_checkpoint_dir(spark).rstrip('/')}/streams/{stream_id(landing_dir, layout)}"
 
 
 def start_bronze_stream(
@@ -39,12 +47,12 @@ def start_bronze_stream(
     *,
     checkpoint: str | None = None,
     file_format: str = "json",
-    max_pages: int = landing.DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
+    mode: str = "FAILFAST",
     source: str = landing.DEFAULT_SOURCE,
     fmt: str = tables.DEFAULT_FORMAT,
     available_now: bool = True,
     interval: str = "10 minutes",
-    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; returns the running query.
 
@@ -52,25 +60,22 @@ def start_bronze_stream(
     batch run with exactly-once file tracking); otherwise it polls every
     ``interval``.
     """
-    reader = spark.readStream.schema(LANDED_PAGE_SCHEMA).format(file_format)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    pages = reader.load(landing_dir)
+    pages = spark.readStream.schema(LANDED_PAGE_SCHEMA).format(file_format).load(landing_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Three actions read the batch (cut-off size check, emptiness check,
-        # write); hold it so its files are read once.
+        # The emptiness check and the write read the batch; hold it so its
+        # files are read once (they are read again if a block is lost).
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = landing.pages_to_bronze(held, max_pages=max_pages, source=source)
+            rows = landing.pages_to_bronze(held, max_pages=max_pages, source=source, mode=mode)
             tables.append_bronze(rows, layout.bronze, fmt)
         finally:
             held.unpersist()
 
     writer = (
         pages.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint or default_checkpoint(spark))
-        .queryName(f"bronze_stream_{abs(hash(landing_dir)) % 10**8}")
+        .option("checkpointLocation", checkpoint or default_checkpoint(spark, landing_dir, layout))
+        .queryName(stream_id(landing_dir, layout))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

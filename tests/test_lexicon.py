@@ -17,36 +17,19 @@ def tag(spark, texts, taxonomy=lexicon.SKILL_TAXONOMY):
     return [r["s"] for r in rows]
 
 
-def test_extracts_common_tools(spark):
-    [s] = tag(spark, ["We need Python, SQL and PySpark on Azure Databricks with Airflow."])
-    assert {"Python", "SQL", "PySpark", "Azure", "Databricks", "Airflow"} <= set(s)
-
-
-def test_case_insensitive_and_aliases(spark):
-    a, b, c = tag(spark, ["strong PYTHON skills", "experience with bigquery", "we run everything on redshift"])
-    assert a == ["Python"]
-    assert b == ["GCP"]
-    assert c == ["AWS"]
-
-
-def test_word_boundaries(spark):
-    out = tag(spark, [
-        "frontend javascript developer", "NoSQL and MySQL", "PySpark only", "T-SQL", "glue jobs",
-        "éaws", "awsé", "aws_x", "²aws", "awś", "ſql", "delta table", "DELTA TABLES",
-        "power  bi", "ci/cd pipelines", "k8s",
-    ])
-    assert "Java" not in out[0]
-    assert out[1] == ["MySQL"]
-    assert out[2] == ["PySpark"]
-    assert out[3] == ["SQL"]
-    assert out[4] == ["AWS"]
-    assert out[5] == out[6] == out[7] == out[8] == []
-    assert out[9] == ["AWS"]  # a combining mark after the word is not a letter
-    assert out[10] == ["SQL"]  # long s folds to s
-    assert out[11] == out[12] == ["Delta Lake"]
-    assert out[13] == []  # two spaces are not the alias
-    assert out[14] == ["CI/CD"]
-    assert out[15] == ["Kubernetes"]
+@pytest.mark.parametrize("text,expected", [
+    ("Rust, then terraform; docker-compose and HIVE.", ["Docker", "Hive", "Terraform"]),
+    ("moved from postgres to SnowFlake", ["PostgreSQL", "Snowflake"]),
+    ("Google Cloud / Synapse / Glue", ["AWS", "Azure", "GCP"]),
+    ("scalable, javabeans, hives, s33", []),
+    ("scala/java", ["Java", "Scala"]),
+    ("GitHub Actions!", ["CI/CD"]), ("github  actions", []),
+    ("delta table, delta tables, delta tabless", ["Delta Lake"]),
+    ("àkafka", []), ("kafkaß", []), ("kafka_", []), ("kafka³", []), ("kafka\u0301", ["Kafka"]),
+    ("ſnowflake", ["Snowflake"]), ("\u212aafka", ["Kafka"]),
+])
+def test_names_and_boundaries(spark, text, expected):
+    assert tag(spark, [text]) == [expected]
 
 
 def test_empty_and_null(spark):
@@ -58,10 +41,10 @@ def test_sorted_unique_code_point_order(spark):
     assert s == ["Airflow", "Python", "SQL", "dbt"]
 
 
-def test_clouds_follow_skills_order(spark):
-    df = spark.createDataFrame([("gcp aws azure python",)], "t string")
-    r = df.select(lexicon.clouds(lexicon.skills("t")).alias("c")).first()
-    assert r["c"] == ["AWS", "Azure", "GCP"]
+def test_clouds_search_only_their_names(spark):
+    df = spark.createDataFrame([("gcp adf kafka s3",)], "t string").select(lexicon.clouds("t").alias("c"))
+    assert df.first()["c"] == ["AWS", "Azure", "GCP"]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 3
 
 
 @pytest.mark.parametrize("title,expected", [

@@ -68,15 +68,56 @@ def test_one_pass_marts_scan_silver_once(spark, stored_silver):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_dedupe_shuffles_only_what_its_caller_uses(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = marts.build_mart(curate(fixtures.load_postings(spark, SF)), marts.JOBS_BY_DAY)
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    below = p[:p.index("FileScan")].rsplit("Exchange hashpartitioning", 1)[1]
+    sent = [line for line in below.split("\n") if "Project" in line][0]
+    assert "created" in p and "xxhash64" in p
+    assert "AS description" not in sent.split("xxhash64")[0] and "AS redirect_url" not in sent.split("xxhash64")[0]
+
+
+def test_type_clash_between_marts_raises(stored_silver):
+    clash = marts.MartSpec("by_size", ("skill",), "n", explode=("sizes", "skill"))
+    df = stored_silver.selectExpr("*", "array(skill_count) as sizes")
+    with pytest.raises(ValueError, match="skill"):
+        marts.build_marts(df, (marts.TOP_TOOLS, clash))
+
+
+def test_gold_all_is_one_scan_and_one_shuffle(spark, stored_silver):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(marts.gold_all(stored_silver))
+        assert p.count("FileScan") == 1 and p.count("Exchange") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_building_a_query_runs_no_job(spark):
+    from postings_lake.plans.registry import QUERIES
+
+    tracker = spark.sparkContext.statusTracker()
+    for key, query in QUERIES.items():
+        spark.sparkContext.setJobGroup(f"build-{key}", key)
+        query(spark, SF)
+        # Reading a parquet footer for its schema is the only job allowed.
+        names = len(tracker.getJobIdsForGroup(f"build-{key}"))
+        assert names <= 2, key
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_every_query_plan_is_jvm_only_and_join_safe(spark):
-    """No Python evaluation, no cartesian or nested-loop joins, and the only
-    broadcast is the size-checked cut-off lookup."""
-    import __spark_entry__ as E
+    """No Python evaluation and no cartesian or nested-loop joins; joins carry no
+    broadcast hint, so the planner's own size threshold decides."""
+    from postings_lake.plans.registry import QUERIES
 
-    for key, q in E.queries().items():
-        p = plan(q(spark, SF))
+    for key, q in QUERIES.items():
+        df = q(spark, SF)
+        p = plan(df)
         assert "EvalPython" not in p and "PythonUDF" not in p, key
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
-        if "BroadcastExchange" in p:
-            assert key in {"page_cutoff", "flatten_posting"}, key
-            assert "__first_empty" in p, key
+        assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString(), key

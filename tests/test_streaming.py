@@ -36,8 +36,27 @@ def test_stream_appends_only_new_files(spark, workdir):
     assert silver == {("1", "nl"), ("2", "de"), ("3", "nl")}
 
 
-def test_default_checkpoint_under_session_dir(spark):
-    from postings_lake.streaming.bronze_stream import default_checkpoint
-
-    path = default_checkpoint(spark)
-    assert path.endswith("/streams/bronze_stream")
+def test_backlog_of_several_runs_in_one_batch(spark, workdir):
+    folder, lay = os.path.join(workdir, "landing"), Layout(os.path.join(workdir, "lake"))
+    land(spark, folder, "run1", "2026-06-01T00:00:00Z", [("de", 1, [1]), ("de", 2, []), ("de", 3, [7])])
+    land(spark, folder, "run2", "2026-06-02T00:00:00Z", [("de", 1, [2]), ("de", 2, [3]), ("de", 3, [4]), ("de", 4, [5])])
+    start_bronze_stream(spark, folder + "/*", lay, checkpoint=os.path.join(workdir, "ckpt")).awaitTermination(120)
+    assert sorted(r["source_id"] for r in tables.read_bronze(spark, lay).collect()) == ["1", "2", "3", "4", "5"]
+
+
+def test_two_folders_have_two_checkpoints(spark, workdir):
+    lays = []
+    for name in ("north", "south"):
+        folder, lay = os.path.join(workdir, name), Layout(os.path.join(workdir, "lake", name))
+        land(spark, folder, "run1", "2026-06-01T00:00:00Z", [("de", 1, [1, 2])])
+        start_bronze_stream(spark, folder + "/*", lay).awaitTermination(120)
+        lays.append(lay)
+    assert [tables.read_bronze(spark, lay).count() for lay in lays] == [2, 2]
+
+
+def test_stream_names_are_stable_and_distinct():
+    from postings_lake.streaming.bronze_stream import stream_id
+
+    a, b = stream_id("/in/a", Layout("/lake")), stream_id("/in/b", Layout("/lake"))
+    assert a != b and a != stream_id("/in/a", Layout("/lake2")) and a == "bronze_" + a.removeprefix("bronze_")
+    assert stream_id("/in/a", Layout("/lake")) == a
