@@ -99,7 +99,7 @@ class ToxicityModel:
         padded = -(-n // BLOCK) * BLOCK
         self.dense = np.zeros((padded, v), np.float32)
         self.dense[doc, term.astype(np.int64)] = value / norm[doc]
-        self.peak = self.dense.reshape(-1, BLOCK, v).max(1).T.copy()  # term by block
+        self.peak = self.dense.reshape(padded // BLOCK, BLOCK, v).max(1).T.copy()  # term by block
         self.blank = np.append(norm == 0, np.ones(padded - n, bool))
         votes = np.full(n, np.nan)
         for i, (t, q) in self._queries(doc, term, value, norm):
