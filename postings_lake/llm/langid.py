@@ -46,6 +46,12 @@ class Grams:
             seen.update({c for c in t.lower() if c.isalpha()})
         self.letters = "".join(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
 
+    @classmethod
+    def of(cls, letters: str) -> Grams:
+        made = cls([])
+        made.letters = letters
+        return made
+
     def prepare(self) -> None:
         self.code = np.array([CODES - 1 if chr(c).isalpha() else 0 for c in range(0x110000)], np.uint8)
         for i, c in enumerate(self.letters):
@@ -81,21 +87,24 @@ class LanguageModel:
             if len(sets[i]) and rank[lang] < landmarks:
                 rank[lang] += 1
                 chosen.append(i)
-        used = np.unique(np.concatenate([sets[i] for i in chosen] + [np.zeros(0, np.int64)]))
+        self.weights, self.sharpness = np.zeros((SIZE, len(self.languages)), np.float32), 1.0
+        if chosen:
+            self._fit(sample, sets, chosen, ridge)
+        self.grams = Grams.of(self.grams.letters)
+
+    def _fit(self, sample, sets, chosen, ridge) -> None:
+        used = np.unique(np.concatenate([sets[i] for i in chosen]))
         mark = np.zeros((len(used), len(chosen)))  # n-grams by landmarks, normalised
         for j, i in enumerate(chosen):
             mark[np.searchsorted(used, sets[i]), j] = 1 / np.sqrt(len(sets[i]))
         kernel = np.array([mark[np.searchsorted(used, s[np.isin(s, used, assume_unique=True)])].sum(0) / np.sqrt(max(1, len(s))) for s in sets])
-        value, vector = np.linalg.eigh(kernel[chosen] if chosen else np.zeros((0, 0)))
+        value, vector = np.linalg.eigh(kernel[chosen])
         root = (vector / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-        phi = kernel.reshape(len(sets), len(chosen)) @ root
+        phi = kernel @ root
         y = np.array([[1.0 if lang == c else -1.0 for c in self.languages] for _, lang in sample])
-        fit = np.linalg.solve(phi.T @ phi + ridge * len(sample) * np.eye(len(chosen)), phi.T @ y) if chosen else np.zeros((0, len(self.languages)))
-        weights = mark @ (root @ fit)
-        self.weights = np.zeros((SIZE, len(self.languages)), np.float32)
-        self.weights[used] = weights
-        self.sharpness = self._sharpness(kernel @ (root @ fit) if chosen else y * 0, y)
-        del self.grams.code, self.grams.flags
+        fit = np.linalg.solve(phi.T @ phi + ridge * len(sample) * np.eye(len(chosen)), phi.T @ y)
+        self.weights[used] = mark @ (root @ fit)
+        self.sharpness = self._sharpness(phi @ fit, y)
 
     @staticmethod
     def _sharpness(scores: np.ndarray, y: np.ndarray) -> float:

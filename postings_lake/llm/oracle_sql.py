@@ -1,4 +1,49 @@
 """DuckDB twins of the queries that SQL can express; the others are tested
 against brute force in ``tests/llm``."""
 
-ORACLES: dict[str, str] = {}
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATE = f"""
+with dw as (select doc_id, coalesce({_WORDS}, []) as w from documents),
+iw as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark where text is not null),
+wins as (
+  select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as g
+  from (select item, w, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from iw where len(w) > 0)
+),
+sizes as (select distinct n from wins),
+dg as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as g
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, sizes where len(w) >= n)
+),
+hit as (select doc_id, i, dg.n as n, item from dg join wins on dg.g = wins.g and dg.n = wins.n),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hit) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item from hit) group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from dw left join words using (doc_id) left join items using (doc_id)"""
+
+_ESCAPED = "replace(replace(replace({0}, '~', '~0'), '<', '~1'), '|', '~2')"
+
+CHAT = f"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+f as (
+  select *, length({_ESCAPED.format('role')}) + 4 + 4 + length(
+    case when contains(text, '</s>') or regexp_matches(text, '~[012]') then {_ESCAPED.format('text')} else text end) as n
+  from t
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(n) as bigint) as formatted_chars
+from f group by conv_id"""
+
+ORACLES: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op7_chat": CHAT}

@@ -110,11 +110,15 @@ class ToxicityModel:
             if self.slope <= 0:  # too few labels to calibrate by: take the vote as it is
                 self.slope, self.shift = 6.0, -3.0
         else:
-            self.slope, self.shift = 0.0, float(np.log(max(self.base, 1e-6) / max(1 - self.base, 1e-6)))
-        alone = ~linked
-        self.alone = float(((weight * y)[alone].sum() + self.base) / (weight[alone].sum() + 1))
+            share = self._share(weight, y, linked)
+            self.slope, self.shift = 0.0, float(np.log(share / (1 - share)))
+        self.alone = self._share(weight, y, ~linked)
         return self
 
+    def _share(self, weight: np.ndarray, y: np.ndarray, rows: np.ndarray) -> float:
+        """Smoothed share of toxic texts among some labelled rows."""
+        return float(np.clip(((weight * y)[rows].sum() + self.base) / (weight[rows].sum() + 1), 1e-6, 1 - 1e-6))
+
     @staticmethod
     def _queries(doc, term, value, norm):
         begin = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc

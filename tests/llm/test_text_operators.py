@@ -1,0 +1,380 @@
+"""Text operators against brute force, with nulls, empty and long texts, repeats,
+empty tables and extra columns whose names clash."""
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from postings_lake.llm import bpe, decontaminate, langid, maxent, quality, secrets, simhash, textarrays, toxicity
+
+DOCS = "doc_id long, text string, score double, n_words string"
+R = random.Random(5)
+VOCAB = ["alpha", "Beta", "gamma", "delta", "épée", "ŒUF", "zeta9", "eta", "theta", "iota", "kappa", "lambda"]
+
+
+def prose(n, words=VOCAB):
+    return " ".join(R.choice(words) + R.choice(["", "", ",", "."]) for _ in range(n))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, 9.5, "clash") for i, t in rows], DOCS)
+
+
+EDGE = [(1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "one"), (5, "one"), (None, "no id here"), (6, prose(30_000))]
+
+
+def test_words_are_found_and_hashed_across_pieces(monkeypatch):
+    monkeypatch.setattr(textarrays, "PIECE", 50)
+    lower = {i: i + 32 for i in range(65, 91)}
+    texts = ["", None, prose(200), "x" * 400 + " y", "é\tB", "z"]
+    for table, pattern in ((textarrays.alnum_words(), r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), (textarrays.spaced_words(), r"[^\x20\x09-\x0D]+")):
+        data, at = textarrays.strings(pa.array(texts))
+        s, e, h = textarrays.Words(table).all(data, at)
+        want = [w for t in texts for w in re.findall(pattern, (t or "").translate(lower))]
+        assert [data[a:b].tobytes().decode().translate(lower) for a, b in zip(s, e)] == want
+        assert len(set(zip(want, h.tolist()))) == len(set(want)) == len(set(h.tolist()))
+
+
+# --- benchmark decontamination -------------------------------------------------
+
+def contamination(spark, docs, items, **kw):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.judge(decontaminate.find_hits(frame(spark, docs), bench, keep=["doc_id", "score", "n_words"], **kw))
+    return sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in out.collect()), key=repr)
+
+
+@pytest.mark.parametrize("block_words", [1_000_000, 40])
+def test_decontamination_matches_brute_force(spark, block_words):
+    items = [(i, prose(R.choice([0, 1, 2, 5, 13, 14, 40]))) for i in range(12)] + [(None, prose(20)), (3, prose(15)), (90, None)]
+    long = [t for _, t in items if t and len(t.split()) >= 13]
+    docs = EDGE + [(100 + i, " ".join([prose(R.randint(0, 60)), R.choice(long).upper(), prose(9)])) for i in range(20)]
+    docs += [(200, " ".join(long[0].split()[:12])), (201, " ".join(long[0].split()[1:14]))]
+    got = contamination(spark, docs, items, block_words=block_words)
+    want = []
+    for d, t in docs:
+        n, hit, found = decontaminate.brute_force([(0, t)], items)[0]
+        want.append((d, n, hit, found, hit > 0 and 20 * hit >= n))
+    assert got == sorted(want, key=repr)
+
+
+def test_decontamination_without_items_or_documents(spark):
+    assert all(r[2:] == (0, [], False) for r in contamination(spark, EDGE, []))
+    assert contamination(spark, [], [(1, "a b c")]) == []
+
+
+def test_spans_are_cut_out_of_the_text(spark):
+    passage = " ".join(f"w{i}" for i in range(13))
+    docs = frame(spark, [(1, f"before, {passage}. After"), (2, "clean"), (3, None)])
+    hits = decontaminate.find_hits(docs, spark.createDataFrame([(1, passage)], "item_id long, text string"))
+    got = {r["doc_id"]: r["cleaned"] for r in decontaminate.remove_spans(hits).collect()}
+    assert got == {1: "before, . After", 2: "clean", 3: ""}
+
+
+# --- SimHash ----------------------------------------------------------------------
+
+def test_near_duplicates_match_brute_force(spark):
+    base = [prose(60) for _ in range(12)]
+    rows = [(1000 + i, t) for i, t in enumerate(base)]
+    for k, t in enumerate(base):
+        for j in range(6):
+            words = t.split()
+            for _ in range(j % 4):
+                words[R.randrange(len(words))] = R.choice(VOCAB)
+            rows.append((10 * k + j, "  ".join(words)))
+    rows += [(7000, ""), (7001, "!"), (7002, "\n")]
+    R.shuffle(rows)
+    want = simhash.brute_force([(i, t) for i, t in rows])
+    for shard in (8, 10_000):
+        got = simhash.near_duplicates(frame(spark, rows + [(6999, None)]), shard=shard).collect()
+        assert {r["doc_id"]: (f"{r['fp'] % 2**64:016x}", r["component_id"]) for r in got if r["doc_id"] != 6999} == {
+            i: (f, min(c, 6999) if c == want[7000][1] else c) for i, (f, c) in want.items()}
+
+
+def test_fingerprint_uses_seeded_xxh64_like_spark(spark):
+    words = "the cat sat on the mat"
+    shingles = spark.createDataFrame([(" ".join(words.split()[i:i + 3]),) for i in range(4)], "s string")
+    hashes = [r[0] % 2**64 for r in shingles.select(F.xxhash64("s")).collect()]
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert simhash.brute_force([(1, words.upper())])[1][0] == f"{bits:016x}"
+
+
+def test_dense_group_is_linked_without_all_pairs():
+    x = np.array([sum(1 << int(b) for b in R.sample(range(64), R.randint(0, 3))) for _ in range(3000)], np.uint64)
+    x = np.unique(np.append(x, 0).astype(np.uint64))
+    root = simhash.local_links(x, np.ones(len(x), bool), simhash.HALVES[0], 1, 3)
+    other = simhash.local_links(x, np.ones(len(x), bool), simhash.HALVES[1], 1, 3)
+    forest = simhash.Forest(len(x))
+    forest.unite(np.arange(len(x)), root)
+    forest.unite(np.arange(len(x)), other)
+    assert (forest.parent == 0).all()
+
+
+def test_one_of_each_keeps_whole_rows(spark):
+    a, b = prose(80), prose(80)
+    rows = [(5, a), (3, a), (3, a), (9, b), (None, a), (None, "nobody " * 9), (None, "nobody " * 9), (2, None), (8, "")]
+    out = simhash.one_of_each(frame(spark, rows))
+    assert out.columns == ["doc_id", "text", "score", "n_words"]
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(
+        [(3, a), (9, b), (None, "nobody " * 9), (2, None)], key=repr)
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
+    got = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_simhash_of_nothing(spark):
+    assert simhash.near_duplicates(frame(spark, [])).count() == 0
+    assert simhash.one_of_each(frame(spark, [])).count() == 0
+
+
+# --- BPE ---------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("byte_bpe_50k.json")
+    return path, Tokenizer.from_file(path)
+
+
+def test_bpe_equals_the_library_and_round_trips(spark, tokenizer):
+    path, library = tokenizer
+    pool = ["the", " ", "\n", "  ", "a", "aa", "aaaa", "é", "日本", "🙂", "'s", "'ll", "123", "٣", "<|endoftext|>", "<|endof", "\t",
+            "\x1c", "\x85", "zz", "--", "ing", "\r\n", "​", "=" * 7, "x" * 30]
+    texts = [t for _, t in EDGE] + ["".join(R.choice(pool) for _ in range(R.randint(0, 30))) for _ in range(400)]
+    rows = list(enumerate(texts))
+    out = bpe.encode(frame(spark, rows), path, keep=["doc_id", "score"], decode=True).collect()
+    ids = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in out}
+    for i, t in rows:
+        assert ids[i] == library.encode(t or "", add_special_tokens=False).ids
+    assert {r["doc_id"]: r["decoded"] for r in out} == {i: t or "" for i, t in rows}
+
+
+def test_bpe_encodes_very_long_words_and_decodes_later(spark, tokenizer):
+    path, library = tokenizer
+    word = "".join(R.choice("abcdefgh") for _ in range(20_000))
+    coded = bpe.encode(frame(spark, [(1, word)]), path)
+    assert np.frombuffer(bytes(coded.first()["ids"]), "<u4").tolist() == library.encode(word).ids
+    assert bpe.decode(coded, path).first()["decoded"] == word
+    assert bpe.encode(frame(spark, []), path).count() == 0
+
+
+def test_a_small_automaton_follows_the_merges():
+    symbols = {s: i for i, s in enumerate(bpe.byte_symbols())}
+    vocabulary = symbols | {"aa": 300, "ab": 301, "aab": 302, "aaa": 303}
+    merges = [("a", "a"), ("a", "b"), ("aa", "b"), ("aa", "a")]
+    automaton = bpe.TokenAutomaton(vocabulary, merges, [])
+
+    def by_merging(word):
+        parts = list(word)
+        while True:
+            ranks = [(merges.index(p), i) for i, p in enumerate(zip(parts, parts[1:])) if p in merges]
+            if not ranks:
+                return [vocabulary[p] for p in parts]
+            best = min(ranks)[0]
+            i = 0
+            while i + 1 < len(parts):
+                if (parts[i], parts[i + 1]) == merges[best]:
+                    parts[i:i + 2] = ["".join(merges[best])]
+                i += 1
+
+    for n in range(1, 11):
+        for bits in range(2**n):
+            word = "".join("ab"[bits >> i & 1] for i in range(n))
+            assert automaton.encode_word(word.encode()) == by_merging(word)
+
+
+# --- language-model scores ------------------------------------------------------------
+
+def test_base_scores_match_plain_counting(spark):
+    rows = [(i, prose(R.randint(0, 80))) for i in range(60)] + EDGE[:4] + EDGE[-1:]
+    rows = [(i, t) for i, t in dict(rows).items()]
+    marked, training = maxent.held_out(frame(spark, rows), F.coalesce(F.col("doc_id") % 5 == 1, F.lit(False)))
+    for head in (1 << 19, 8):
+        model, counts = maxent.fit(training, head=head)
+        got = {r["doc_id"]: r for r in maxent.score(marked, model, counts, keep=["doc_id", "score", "held_out"]).collect()}
+        want = maxent.brute_force(rows, lambda d: d % 5 == 1)
+        assert set(got) == set(want)
+        for d, (n, known, total, base) in want.items():
+            assert (got[d]["n_tokens"], got[d]["n_known"], got[d]["train_tokens"]) == (n, known, total)
+            assert got[d]["base_score"] == pytest.approx(base, abs=1e-9 * max(1, abs(base)) + 1e-9)
+            assert got[d]["score"] < 0
+
+
+def test_class_probabilities_are_normalised_and_learn():
+    tokens, trainer = maxent.Tokens(), maxent.Trainer()
+    text = pa.array(["ax by " * 400, "cz dw " * 400])
+    h, c, _ = tokens(text)
+    rows = tokens.rows(h)
+    before = maxent.log_classes(trainer.weights, rows)
+    for _ in range(5):
+        trainer.update(rows, c)
+    after = maxent.log_classes(trainer.weights, rows)
+    assert np.allclose(np.exp(after).sum(1), 1, atol=1e-4)
+    at = np.arange(len(c))
+    assert after[at, c].mean() > before[at, c].mean() + 1
+
+
+def test_maxent_of_nothing(spark):
+    empty = frame(spark, [])
+    model, counts = maxent.fit(empty)
+    assert maxent.score(empty, model, counts).count() == 0
+    one = maxent.score(frame(spark, [(1, "never seen")]), model, counts, keep=["doc_id"]).first()
+    assert (one["n_tokens"], one["n_known"], one["train_tokens"]) == (3, 0, 0)
+
+
+# --- secrets -------------------------------------------------------------------------
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base_spans(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24])
+
+
+@pytest.fixture(scope="module")
+def ratios(spark):
+    words = spark.createDataFrame([(w,) for w in ("getUserName handle_request_timeout configuration theConfigurationManager "
+                                                  "international_transactions serializeToString misunderstandings").split() * 3], "value string")
+    return secrets.train(secrets.random_samples(spark, 1024).union(words.withColumn("random", F.lit(False))))
+
+
+def test_base_spans_match_python(spark, ratios):
+    hexes = hashlib.sha256(b"x").hexdigest()
+    texts = [None, "", "🙂 token = \"abcdefgh\" x", "token=token=abcdefgh", "token = token : abcdefgh", "Password: short", "API_KEY:'AbC123+/='",
+             "AKIA" + "Z9" * 8, "AKIAZ" * 6, "AKIA123", hexes + "g" + hexes[:23], "é" + hexes[:24] + "é", "secret:=== passwd  =  x.y-z_1",
+             f"{hexes} " * 300, "toKen:" + hexes[:30]]
+    pool = ["token", "=", ":", " ", '"', "'", "secret", "apikey", "AKIA", "A1B2C3D4E5F6G7H8", hexes[:24], hexes[:10], "é", "\n", "abc", "="]
+    texts += ["".join(R.choice(pool) for _ in range(R.randint(1, 14))) for _ in range(300)]
+    got = {r["doc_id"]: [tuple(s) for s in r["base"]] for r in secrets.scan(frame(spark, list(enumerate(texts))), ratios).collect()}
+    assert got == {i: base_spans(t) for i, t in enumerate(texts)}
+
+
+def test_markov_models_add_random_strings_only(spark, ratios):
+    random_key = base64.b64encode(hashlib.sha256(b"q").digest()).decode()
+    texts = {1: f"key {random_key} here", 2: "call internationalConfigurationManager now",
+             3: "handle_international_transactions", 4: f"token={random_key}", 5: None}
+    found = secrets.scan(frame(spark, list(texts.items())), ratios).withColumn("all", secrets.listed("spans")).collect()
+    assert {r["doc_id"]: r["all"] for r in found} == {1: "random:4:48", 2: "", 3: "", 4: "assign:0:50", 5: ""}
+
+
+def test_redaction_covers_overlapping_spans(spark, ratios):
+    hexes = hashlib.sha256(b"y").hexdigest()
+    docs = frame(spark, [(1, f"a token = {hexes} b {hexes[:30]}"), (2, "plain"), (3, None)])
+    out = secrets.scan(docs, ratios).withColumn("clean", secrets.redacted(F.col("text"), F.col("spans"))).collect()
+    assert {r["doc_id"]: r["clean"] for r in out} == {1: "a [SECRET] b [SECRET]", 2: "plain", 3: None}
+    assert secrets.scan(frame(spark, []), ratios).count() == 0
+
+
+# --- classifiers ----------------------------------------------------------------------
+
+def test_language_model_separates_and_handles_edges(spark):
+    tongues = {"aa": ["thing", "other", "when"], "bb": ["ciudad", "niño", "pero"], "cc": ["größe", "schön", "und"]}
+    rows = [(i, prose(R.randint(3, 40), tongues[lang]), lang) for i, lang in enumerate(list(tongues) * 60)]
+    rows += [(900, "12 -- 34", "aa"), (901, None, "bb"), (902, "", None), (903, prose(50_000, tongues["cc"]), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
+    model = langid.fit(docs, F.col("doc_id") % 7 == 1, per_language=40, landmarks=10)
+    got = {r["doc_id"]: r for r in langid.identify(docs, model, keep=["doc_id", "score"]).collect()}
+    held = [(i, lang) for i, _, lang in rows if i < 180 and i % 7 == 1]
+    assert np.mean([got[i]["lang_pred"] == lang for i, lang in held]) > 0.95
+    assert [(got[i]["lang_pred"], got[i]["score"]) for i in (900, 901, 902)] == [("und", 0.0)] * 3
+    assert got[903]["lang_pred"] == "cc" and 0 < got[903]["score"] <= 1
+    nothing = langid.fit(docs.where("false"), F.lit(False))
+    assert {r["lang_pred"] for r in langid.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_folded_weights_equal_the_kernel():
+    sample = [(prose(12, w), lang) for lang, w in (("x", ["abc", "bcd"]), ("y", ["éfg", "fgh"])) for _ in range(8)]
+    model = langid.LanguageModel(sample, landmarks=4)
+    sets = [set(model.grams.present(t).tolist()) for t, _ in sample]
+    marks = [0, 1, 2, 3, 8, 9, 10, 11]
+    kernel = np.array([[len(a & sets[m]) / np.sqrt(len(a) * len(sets[m])) for m in marks] for a in sets])
+    value, vector = np.linalg.eigh(kernel[marks])
+    root = (vector / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
+    phi = kernel @ root
+    y = np.array([[1.0 if c == lang else -1.0 for c in ("x", "y")] for _, lang in sample])
+    scores = phi @ np.linalg.solve(phi.T @ phi + 1e-3 * len(sample) * np.eye(8), phi.T @ y)
+    got = np.array([model.weights[sorted(s)].sum(0) / np.sqrt(len(s)) for s in sets])
+    assert np.allclose(got, scores, atol=1e-3)
+
+
+def test_chain_marginals_match_enumeration():
+    theta, t = np.array([0.3, -1.2, 2.0, 0.1]), np.array([[0.5, -0.4], [-0.9, 0.8]])
+    fore, back = quality.chain(theta, np.array([3, 1]), t)
+    weight = {}
+    for labels in np.ndindex(2, 2, 2):
+        weight[labels] = np.exp(sum(theta[i] * y for i, y in enumerate(labels)) + sum(t[a, b] for a, b in zip(labels, labels[1:])))
+    for i in range(3):
+        p = sum(w for y, w in weight.items() if y[i]) / sum(weight.values())
+        assert quality.sigmoid(fore + back)[i] == pytest.approx(p)
+    assert (fore + back)[3] == pytest.approx(theta[3])
+
+
+def labelled(spark, good, bad, n=160):
+    rows = [(i, (good if i % 4 else bad)()) for i in range(n)]
+    docs = frame(spark, rows + [(901, None), (902, ""), (903, "\n\n"), (904, "\n".join(good() for _ in range(300))), (903, "\n\n")])
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(n)], "doc_id long, mark int")
+    return docs, labels
+
+
+def test_quality_learns_lines_and_scores_every_text(spark):
+    docs, labels = labelled(spark, lambda: "\n".join(prose(12) for _ in range(4)), lambda: "\n".join("AA!! BB!! ##" for _ in range(5)))
+    model = quality.fit(docs, labels, F.col("doc_id") % 7 == 2, label="mark", per_class=64)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model, keep=["doc_id", "score"]).collect()}
+    assert np.mean([(got[i] >= 0.5) == (i % 4 > 0) for i in range(160) if i % 7 == 2]) > 0.95
+    assert all(0 <= s <= 1 for s in got.values()) and got[901] == got[902] == got[903] and got[904] > 0.5
+    unlearned = quality.fit(docs, labels.where("mark = 1"), F.lit(False), label="mark")
+    assert {r["score"] for r in quality.score(docs, unlearned).collect()} == {1.0}
+    assert quality.score(docs.where("false"), model).count() == 0
+
+
+def test_toxicity_neighbours_are_exact_and_learn(spark):
+    docs, labels = labelled(spark, lambda: prose(30), lambda: prose(30) + " vilest " + prose(5) + " rottenness")
+    labels = labels.withColumn("mark", 1 - F.col("mark"))
+    model = toxicity.fit(docs, labels, F.col("doc_id") % 5 == 0, label="mark", per_class=64)
+    rows = toxicity.score(docs, model, keep=["doc_id", "score"]).collect()
+    got = {r["doc_id"]: r["score"] for r in rows}
+    assert np.mean([(got[i] >= 0.5) == (i % 4 == 0) for i in range(0, 160, 5)]) > 0.95
+    assert all(0 <= s <= 1 for s in got.values()) and max(got[901], got[902], got[903]) < 0.5
+    assert all(e % 4 == 0 for r in rows if r["doc_id"] is not None and r["doc_id"] < 160 and r["doc_id"] % 4 == 0 for e in r["evidence"])
+    unlearned = toxicity.fit(docs, labels.where("false"), F.lit(False), label="mark")
+    assert {r["score"] for r in toxicity.score(docs, unlearned).collect()} == {0.0}
+
+
+def test_block_max_search_equals_all_cosines():
+    rng = np.random.default_rng(3)
+    model = toxicity.ToxicityModel(0.1)
+    dense = rng.random((300, 20)) * (rng.random((300, 20)) < 0.2)
+    norm = np.linalg.norm(dense, axis=1)
+    dense[norm > 0] /= norm[norm > 0, None]
+    model.dense = np.zeros((320, 20), np.float32)
+    model.dense[:300] = dense
+    model.peak = model.dense.reshape(-1, toxicity.BLOCK, 20).max(1).T.copy()
+    model.blank = model.dense.max(1) == 0
+    for _ in range(50):
+        t = np.sort(rng.choice(20, 4, replace=False))
+        q = rng.random(4).astype(np.float32)
+        cosine = model.dense[:, t] @ q
+        want = sorted(((-c, i) for i, c in enumerate(cosine) if c > 0))[:toxicity.NEIGHBOURS]
+        rows, scores = model.nearest(t, q)
+        assert np.allclose(scores, [-c for c, _ in want], atol=1e-6) and len(rows) == len(want)
+
+
+@pytest.mark.parametrize("module,label", [(quality, "mark"), (toxicity, "mark")])
+def test_no_labels_at_all(spark, module, label):
+    docs = frame(spark, EDGE)
+    model = module.fit(docs, spark.createDataFrame([], "doc_id long, mark int"), F.lit(False), label=label)
+    assert module.score(docs, model, keep=["doc_id"]).count() == len(EDGE)
