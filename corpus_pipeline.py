@@ -48,7 +48,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by ``MARK``; ``n_chars`` follows."""
-    ratios = secrets.train(secrets.random_samples(spark).union(secrets.identifier_samples(docs)))
+    ratios = secrets.fit(docs)
     packed, unpack = aside(docs)
     found = secrets.scan(packed, ratios)
     changed = F.size("spans") > 0

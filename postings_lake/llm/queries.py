@@ -21,7 +21,7 @@ def op1_langid(spark, sf_dir):
 
 def op2_secrets(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ratios = secrets.train(secrets.random_samples(spark).union(secrets.identifier_samples(docs)))
+    ratios = secrets.fit(docs)
     found = secrets.scan(docs, ratios)
     counts = [F.size(F.filter("base", secrets.of_kind(k))).cast("long").alias(f"n_{name}")
               for k, name in enumerate(secrets.KINDS[:3])]

@@ -6,8 +6,8 @@ text between them come from the same pattern, so running lengths give every
 match's position in code points.
 
 The method adds spans: candidates are runs of ``CANDIDATE`` characters outside
-base spans. Two character Markov models (pair counts, add-one smoothed), one of
-random strings and one of ordinary identifiers, are trained from labelled
+base spans. Two character Markov models (pair counts, backed off to shares of
+single characters), one of random strings and one of ordinary identifiers, are trained from labelled
 samples, and a candidate is a secret when the log-likelihood ratio of its pairs
 reaches ``THRESHOLD``. The ratios of all pairs are one table of 128 x 128 whole
 numbers (thousandths), which the scan holds as a literal array.
@@ -31,7 +31,8 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-THRESHOLD = 15_000  # thousandths of a nat
+THRESHOLD = 35_000  # thousandths of a nat
+BACKOFF = 8.0  # weight of a model's single-character shares in its pair shares
 
 
 def no_spans() -> Column:
@@ -74,15 +75,19 @@ def train(samples: DataFrame) -> list[int]:
     (``value``, ``random`` boolean). At most 2 * 128 * 128 counts reach the driver."""
     pairs = samples.select("random", F.explode(pair_codes(F.col("value"))).alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
-    used = sorted({p // 128 for _, p in counts} | {p % 128 for _, p in counts})
     table = [0] * (128 * 128)
     if len({r for r, _ in counts}) < 2:
         return table
-    for a in used:
-        total = {r: sum(counts.get((r, a * 128 + b), 0) for b in used) + len(used) for r in (True, False)}
-        for b in used:
-            p = {r: (counts.get((r, a * 128 + b), 0) + 1) / total[r] for r in (True, False)}
-            table[a * 128 + b] = round(1000 * math.log(p[True] / p[False]))
+    used = sorted({p // 128 for _, p in counts} | {p % 128 for _, p in counts})
+    models = {}
+    for r in (True, False):
+        single = {b: sum(counts.get((r, a * 128 + b), 0) for a in used) + 0.5 for b in used}
+        whole = sum(single.values())
+        after = {a: sum(counts.get((r, a * 128 + b), 0) for b in used) for a in used}
+        models[r] = {(a, b): (counts.get((r, a * 128 + b), 0) + BACKOFF * single[b] / whole) / (after[a] + BACKOFF)
+                     for a in used for b in used}
+    for a, b in models[True]:
+        table[a * 128 + b] = round(1000 * math.log(models[True][a, b] / models[False][a, b]))
     return table
 
 
@@ -94,16 +99,35 @@ def random_samples(spark: SparkSession, n: int = 4096) -> DataFrame:
                                  F.lit(True).alias("random"))
 
 
-def identifier_samples(documents: DataFrame, texts: int = 1024) -> DataFrame:
+def rule_samples(spark: SparkSession, n: int = 2000) -> DataFrame:
+    """Ordinary strings that few texts hold: rulers, dates and running numbers."""
+    day = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") * 7).cast("int")).cast("string")
+    rulers = [F.repeat(F.lit(c), 8) for c in "-=_/+"]
+    number = (F.col("id") * 100_003).cast("string")
+    return spark.range(n).select(F.explode(F.array(*rulers, F.concat(day, F.lit("-"), day), number, F.concat_ws("-", number, number))).alias("value"),
+                                 F.lit(False).alias("random"))
+
+
+def identifier_samples(documents: DataFrame, texts: int = 256) -> DataFrame:
     """Words of at most ``texts`` documents, chosen by the hash of ``doc_id``
-    (one for each hash cell), outside base matches."""
+    (one for each hash cell), outside base matches: as they are, in capitals, and
+    joined with the next word the ways that names and paths are."""
     h = F.xxhash64(F.col("doc_id").cast("string"))
     some = documents.select("doc_id", "text").filter("doc_id is not null and text is not null").groupBy(
         F.pmod(h, F.lit(texts)).alias("cell")).agg(F.min_by("doc_id", F.struct(F.xxhash64(h), F.col("doc_id"))).alias("doc_id"))
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     chosen = documents.select("doc_id", "text").join(F.broadcast(some.select("doc_id")), "doc_id")
-    return chosen.select(F.explode(F.regexp_extract_all(text, F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("value"),
-                         F.lit(False).alias("random"))
+    words = F.regexp_extract_all(text, F.lit("[A-Za-z0-9]{3,19}"), F.lit(0))
+    forms = F.zip_with(words, F.slice(words, F.lit(2), F.size(words) + 1), lambda a, b: F.array(
+        a, F.upper(a), F.concat_ws("_", a, b), F.concat_ws("_", F.upper(a), F.upper(b)), F.concat_ws("-", a, b),
+        F.concat_ws("/", a, b), F.concat(F.initcap(a), F.initcap(F.coalesce(b, F.lit(""))))))
+    return chosen.select(F.explode(F.flatten(forms)).alias("value"), F.lit(False).alias("random"))
+
+
+def fit(documents: DataFrame) -> list[int]:
+    """The ratios trained from the three samples above."""
+    spark = documents.sparkSession
+    return train(random_samples(spark).union(rule_samples(spark)).union(identifier_samples(documents)))
 
 
 def added_spans(text: Column, base: Column, table: list[int], threshold: int = THRESHOLD) -> Column:
