@@ -19,7 +19,7 @@ WIDTH = 160
 def main(argv):
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as E
+    from postings_lake.plans.registry import QUERIES
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
@@ -30,7 +30,7 @@ def main(argv):
            f"Generated by `tools/explain_plans.py` on `{os.path.basename(sf_dir.rstrip('/'))}` with AQE off; "
            "`*(n)` marks whole-stage-codegen stages, `Exchange` a shuffle. Lines are cut at "
            f"{WIDTH} characters.", ""]
-    for k, q in E.queries().items():
+    for k, q in QUERIES.items():
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         lines = [ln if len(ln) <= WIDTH else ln[: WIDTH - 1] + "…" for ln in plan.rstrip().split("\n")]
         shuffles = sum("Exchange" in ln for ln in lines)
