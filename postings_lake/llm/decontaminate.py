@@ -21,7 +21,6 @@ hits. Repeated documents are judged one by one.
 """
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -269,7 +268,3 @@ def brute_force(documents: list[tuple], items: list[tuple], window: int = 13) ->
                     hit.update(range(k, k + n))
         out[doc] = (len(ws), len(hit), sorted(found, key=str.encode))
     return out
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
