@@ -16,7 +16,7 @@ that found fewer than ``k`` are searched again over all rows.
 Defined cases: rows whose id or vector is null, empty, zero, or holds null or
 non-finite components take no part; vectors of different lengths are never
 compared; a repeated id counts once for a query (at its least distance), and as
-a query with its smallest vector; ties go to the smaller id; no rows, no result.
+a query with its smallest usable vector; ties go to the smaller id; no rows, no result.
 """
 from __future__ import annotations
 
@@ -161,7 +161,8 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, tables: int =
             query_block: int = QUERY_BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the rows that ``is_query`` marks."""
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    queries = rows.filter(is_query & F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
+    usable = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False))) & F.exists("embedding", lambda v: v != 0)
+    queries = rows.filter(is_query & F.col("vec_id").isNotNull() & usable)
     queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
     def top(found: DataFrame) -> DataFrame:
