@@ -40,6 +40,12 @@ def crc_mod(column: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus, F.lit(-1))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once a row; without it, a lambda that
+    mentions an outer expression computes that anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def balanced_sample(rows: DataFrame, by: str, per_class: int) -> DataFrame:
     """At most ``per_class`` rows ``(doc_id, by)`` of each class, spread evenly.
 

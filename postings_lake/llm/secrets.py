@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postings_lake.llm.common import bound
+
 # Patterns, and the least lengths of what must be long enough.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -33,33 +35,59 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 THRESHOLD = 35_000  # thousandths of a nat
 BACKOFF = 8.0  # weight of a model's single-character shares in its pair shares
+WALK = 128  # matches placed at a time
+PIECE = 4096  # characters of a candidate scored at a time
 
 
 def no_spans() -> Column:
     return F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
 
-def located(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Spans of a pattern's matches; ``keep`` maps (match, index) to a condition."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.transform(F.split(text, pattern, -1), F.length)
-    sizes = F.zip_with(F.transform(found, F.length), F.slice(between, F.lit(1), F.size(found)),
-                       lambda size, gap: F.struct(gap.alias("gap"), size.alias("size")))
-    start = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
-    walked = F.aggregate(sizes, start, lambda acc, m: F.struct(
+def in_blocks(values: Column) -> Column:
+    """An array's elements in arrays of ``WALK``, one (empty) at least."""
+    return bound(values, lambda v: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.ceil(F.size(v) / WALK).cast("int"), F.lit(1))),
+        lambda b: F.slice(v, (b - 1) * WALK + 1, F.lit(WALK))))
+
+
+def walked(sizes: Column, start: Column, kind: int) -> Column:
+    """Spans of matches, given the gap before each and its size, from ``start``."""
+    begin = F.struct(start.alias("at"), no_spans().alias("spans"))
+    return F.aggregate(sizes, begin, lambda acc, m: F.struct(
         (acc["at"] + m["gap"] + m["size"]).alias("at"),
         F.concat(acc["spans"], F.array(F.struct(
             (acc["at"] + m["gap"]).alias("start"), F.lit(kind).alias("kind"),
             (acc["at"] + m["gap"] + m["size"]).alias("end")))).alias("spans")))["spans"]
+
+
+def placed(sizes: Column, kind: int) -> Column:
+    """``walked`` over all matches, in blocks of ``WALK``: each step copies the
+    spans of its block only, so the work does not grow with the square."""
+    def by_block(parts):
+        total = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda acc, m: acc + m["gap"] + m["size"]))
+        begin = F.aggregate(total, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.zip_with(parts, F.slice(begin, F.lit(1), F.size(parts)), lambda p, at: walked(p, at, kind)))
+
+    return bound(in_blocks(sizes), by_block)
+
+
+def located(text: Column, pattern: str, kind: int, keep=None, group: int = 0) -> Column:
+    """Spans of a pattern's matches; ``keep`` is a condition on the text of a
+    match's ``group``."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
+    between = F.transform(F.split(text, pattern, -1), F.length)
+    sizes = bound(found, lambda size: F.zip_with(
+        size, F.slice(between, F.lit(1), F.size(size)), lambda size, gap: F.struct(gap.alias("gap"), size.alias("size"))))
+    spans = placed(sizes, kind)
     if keep is not None:
-        walked = F.filter(walked, lambda s, i: keep(found, i))
-    return F.when(text.rlike(pattern), walked).otherwise(no_spans())
+        kept = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), keep)
+        spans = F.filter(F.zip_with(spans, kept, lambda span, yes: F.when(yes, span)), lambda span: span.isNotNull())
+    return F.when(text.rlike(pattern), spans).otherwise(no_spans())
 
 
 def base_spans(text: Column) -> Column:
-    values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
-    assign = located(text, ASSIGN, 0, lambda found, i: F.length(F.get(values, i)) >= LEAST_VALUE)
-    access = located(text, ACCESS, 1, lambda found, i: F.length(F.get(found, i)) >= LEAST_ACCESS)
+    assign = located(text, ASSIGN, 0, lambda value: F.length(value) >= LEAST_VALUE, group=2)
+    access = located(text, ACCESS, 1, lambda found: F.length(found) >= LEAST_ACCESS)
     return F.array_sort(F.concat(assign, access, located(text, HEX, 2)))
 
 
@@ -134,8 +162,15 @@ def added_spans(text: Column, base: Column, table: list[int], threshold: int = T
     """Candidates outside base spans whose ratio reaches ``threshold``."""
     ratios = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
-    def random(found, i):
-        return F.aggregate(pair_codes(F.get(found, i)), F.lit(0), lambda acc, p: acc + F.get(ratios, p)) >= threshold
+    def piece_ratio(piece):
+        return F.aggregate(pair_codes(piece), F.lit(0), lambda acc, p: acc + F.get(ratios, p))
+
+    def random(value):
+        # Long candidates go in pieces, each with the last character of the one before.
+        cut = F.regexp_extract_all(value, F.lit(f".{{1,{PIECE}}}"), F.lit(0))
+        joined = bound(cut, lambda ps: F.transform(ps, lambda p, i: F.concat(
+            F.when(i > 0, F.right(F.get(ps, i - 1), F.lit(1))).otherwise(F.lit("")), p)))
+        return F.aggregate(joined, F.lit(0).cast("long"), lambda acc, p: acc + piece_ratio(p)) >= threshold
 
     spans = located(text, CANDIDATE, 3, random)
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
@@ -160,12 +195,31 @@ def listed(spans: str) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span (or run of overlapping spans) replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    walked = F.aggregate(spans, start, lambda acc, s: F.struct(
+def marked(spans: Column, piece: Column, offset: Column, mark: str) -> Column:
+    """A piece of a text, from ``offset`` on, with each of its spans as ``mark``."""
+    start = F.struct(offset.alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, start, lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
         F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out")))
+            acc["out"], F.substring(piece, acc["at"] - offset + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out")))["out"]
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with every span (or run of overlapping spans) replaced by ``mark``.
+
+    Blocks of spans each work on their own piece of the text, which ends where
+    the furthest span so far does."""
+    def by_block(whole, parts):
+        furthest = F.transform(parts, lambda p: F.array_max(F.transform(p, lambda s: s["end"])))
+        reach = F.aggregate(furthest, F.array(F.lit(0)), lambda acc, e: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), e))))
+
+        def block(at):
+            out = F.transform(parts, lambda p, i: bound(
+                F.substring(whole, F.get(at, i) + 1, F.get(at, i + 1) - F.get(at, i)),
+                lambda piece: marked(p, piece, F.get(at, i), mark)))
+            return F.concat(F.array_join(out, ""), F.substring(whole, F.element_at(at, -1) + 1, F.length(whole)))
+
+        return bound(reach, block)
+
     return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.length(text))))
+        bound(text, lambda whole: bound(in_blocks(spans), lambda parts: by_block(whole, parts))))

@@ -279,6 +279,21 @@ def test_redaction_covers_overlapping_spans(spark, ratios):
     assert secrets.scan(frame(spark, []), ratios).count() == 0
 
 
+def test_many_spans_and_long_candidates(spark, ratios):
+    packed = "".join(base64.b64encode(hashlib.sha256(str(k).encode()).digest()).decode().rstrip("=") for k in range(250))
+    parts, clean = [], []
+    for k in range(3 * secrets.WALK + 5):
+        parts += [f" größe {k} ", f"token = {hashlib.md5(str(k).encode()).hexdigest()}" if k % 3 else "AKIA" + "Q7" * 9]
+        clean += [f" größe {k} ", "[SECRET]"]
+    docs = frame(spark, [(1, "".join(parts) + " end"), (2, f"x {packed} y"), (3, f"x {'handle_request_timeout_' * 600} y")])
+    assert len(packed) > 2 * secrets.PIECE
+    found = secrets.scan(docs, ratios).withColumn("clean", secrets.redacted(F.col("text"), F.col("spans")))
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert [tuple(s) for s in got[1]["base"]] == base_spans("".join(parts) + " end")
+    assert got[1]["clean"] == "".join(clean) + " end"
+    assert got[2]["clean"] == "x [SECRET] y" and got[3]["clean"] == got[3]["text"]
+
+
 # --- classifiers ----------------------------------------------------------------------
 
 def test_language_model_separates_and_handles_edges(spark):
