@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postings_lake.llm.common import bound
+
 END, OPEN, CLOSE = "</s>", "<|", "|>"
 
 
@@ -85,12 +87,6 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
 def read_back(formatted: DataFrame) -> DataFrame:
     """Adds ``turns`` (array of role, text) parsed from ``formatted`` and
     ``loss_text``, everything under the loss mask, unescaped."""
-    lines = pieces(F.col("formatted"))
-    masked = F.transform("loss_mask", lambda m: unescape(
-        F.substring(F.get(F.col("__pieces"), m["turn"]), m["offset"] + 1, m["length"])))
-    return (
-        formatted.withColumn("turns", parsed(F.col("formatted")))
-        .withColumn("__pieces", lines)
-        .withColumn("loss_text", F.array_join(masked, ""))
-        .drop("__pieces")
-    )
+    masked = bound(pieces(F.col("formatted")), lambda cut: F.transform("loss_mask", lambda m: unescape(
+        F.substring(F.get(cut, m["turn"]), m["offset"] + 1, m["length"]))))
+    return formatted.withColumns({"turns": parsed(F.col("formatted")), "loss_text": F.array_join(masked, "")})
