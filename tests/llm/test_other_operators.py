@@ -46,7 +46,7 @@ def test_neighbours_recall_and_exact_scores(spark):
 def test_all_probes_is_brute_force_with_ties_copies_and_bad_rows(spark):
     rows = [(i, [1.0, 0.0, 2.0]) for i in range(0, 40)] + [(100 + i, [R.random(), R.random(), 1.0]) for i in range(20)]
     bad = [(50, None), (60, [0.0, 0.0, 0.0]), (70, [1.0, None, 2.0]), (80, [float("nan"), 1.0, 1.0]), (90, [float("inf"), 0.0, 1.0]),
-           (None, [1.0, 2.0, 3.0]), (200, []), (300, [1.0, 2.0]), (0, [1.0, 0.0, 2.0])]
+           (None, [1.0, 2.0, 3.0]), (200, []), (300, [1.0, 2.0]), (0, [1.0, 0.0, 2.0]), (10, [None, 1.0, 1.0]), (20, [0.0, 0.0, 0.0])]
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>").repartition(4)
     got = neighbours(df, probes=0, k=5)
     want = crosspolytope.brute_force(rows + [(300, [1.0, 2.0])], every=10, k=5)
