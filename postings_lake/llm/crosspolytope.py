@@ -108,6 +108,16 @@ class Best:
         for lo in range(0, len(ids), step):
             self._add(ids[lo:lo + step], x[lo:lo + step])
 
+    def _kth(self, ids, square) -> np.ndarray:
+        """Each query's ``k``-th least among the least squares of distinct ids."""
+        order = np.argsort(ids, kind="stable")
+        begin = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
+        if len(begin) < len(ids):
+            square = np.minimum.reduceat(square[:, order], begin, axis=1)
+        if len(begin) <= self.k:
+            return np.full(len(square), np.inf)
+        return np.partition(square, self.k - 1, axis=1)[:, self.k - 1]
+
     def _add(self, ids, x) -> None:
         b = self.block
         candidate = np.full((len(b.ids), len(ids)), b.everything)
@@ -118,7 +128,7 @@ class Best:
         square = (b.x**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * (b.x @ x.T)
         slack = 1e-9 * ((b.x**2).sum(1) + (x**2).sum(1).max())  # rounding of the line above
         square[~candidate] = np.inf
-        near = np.partition(square, self.k - 1, axis=1)[:, self.k - 1] if len(ids) > self.k else np.full(len(b.ids), np.inf)
+        near = self._kth(ids, square)
         limit = np.minimum(self.bound**2, near) + slack
         qi, ri = np.nonzero((square <= limit[:, None]) & candidate)
         if not len(qi):

@@ -53,6 +53,24 @@ def test_all_probes_is_brute_force_with_ties_copies_and_bad_rows(spark):
     assert {q: [v for v, _ in f] for q, f in got.items()} == {q: [v for v, _ in f] for q, f in want.items() if f}
 
 
+def test_an_id_repeated_more_than_k_times_takes_one_place(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.normal(size=8)]) for i in range(60)]
+    near = np.array(rows[10][1])
+    copies = [(7, [float(v) for v in near + 1e-3 * rng.normal(size=8)]) for _ in range(30)]
+    copies += [(i, rows[i][1]) for i in (11, 12, 13)]
+    df = spark.createDataFrame(rows + copies, "vec_id long, embedding array<double>").coalesce(1)
+    want = {}
+    for q, found in crosspolytope.brute_force(rows + copies, every=10, k=200).items():
+        least = {}
+        for v, d in found:
+            least.setdefault(v, d)
+        want[q] = list(least)[:10]
+    for probes in (0, 16):  # 16 probes of 8 dimensions are all buckets
+        got = neighbours(df, probes=probes)
+        assert {q: [v for v, _ in f] for q, f in got.items()} == want
+
+
 def test_few_rows_return_all_candidates(spark):
     rows = [(i, [float(np.cos(i)), float(np.sin(i)), i / 7.0]) for i in range(6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
