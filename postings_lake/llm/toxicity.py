@@ -1,14 +1,17 @@
 """Toxicity by the nearest labelled texts under exact TF-IDF cosine.
 
 Terms are words (A-Z lowered) and, for longer words, their first 4, 5 and 6
-bytes, so that compounds of a stem meet. The vocabulary keeps the terms of the
-labelled sample that depend on the label (chi-square at least ``CHI``, the
-``TERMS`` strongest). A text is the vector of (1 + log tf) * idf over these terms.
-
-The labelled vectors form an inverted index in blocks of ``BLOCK`` texts with
-the largest weight of each term in each block. A query bounds each block's best
-cosine from these, visits blocks from the highest bound down with exact cosines,
-and stops when no bound can beat its ``NEIGHBOURS``-th best. Votes of the
+bytes, so that compounds of a stem meet. The vocabulary is every term of the
+labelled sample. A text is the vector of (1 + log tf) * idf * (1 + chi-square) over
+these terms: idf is counted over all documents, and the chi-square of a term and the
+label in the sample lets terms that depend on the label weigh more and drops none.
+(Terms that no labelled text holds would divide all cosines of a text alike.)
+
+The labelled vectors form an inverted index in blocks of ``BLOCK`` texts. Terms
+in fewer than one of ``RARE`` texts are lists of postings, which a query adds up;
+the others are columns with the largest weight of each term in each block. A query
+bounds each block's best cosine from both, visits blocks from the highest bound down
+with exact cosines, and stops when no bound can beat its ``NEIGHBOURS``-th best. Votes of the
 neighbours, weighted by closeness, become a probability by a logistic fit on the
 sample's own leave-one-out votes. The nearest texts are returned as evidence.
 
@@ -16,20 +19,23 @@ Texts that share no term with the vocabulary have no neighbours; their score is
 the (smoothed) share of toxic texts among such labelled texts.
 
 Defined cases: null and empty texts have no terms; equal cosines rank by the
-labelled texts' order; texts are read whole; repeated rows are scored each; with
+labelled texts' order in the index; texts are read whole; repeated rows are scored each; with
 no labelled rows of both classes every score is the share of toxic labels (0
 without labels).
 """
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from postings_lake.llm.common import Shared, class_weight, labelled_texts, map_texts, platt
 from postings_lake.llm.textarrays import Words, alnum_words, blocks, strings
 
 PREFIXES = (4, 5, 6)
-CHI, TERMS = 25.0, 1024
+RARE = 16
 BLOCK, NEIGHBOURS, EVIDENCE = 64, 15, 3
 
 
@@ -60,6 +66,11 @@ class Terms:
         if not docs:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         docs, terms = np.concatenate(docs), np.concatenate(terms)
+        if vocabulary is not None:  # both are small numbers: one sort of their pairs
+            pairs = np.sort(docs * len(vocabulary) + terms.astype(np.int64))
+            begin = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else pairs
+            docs, terms = np.divmod(pairs[begin], max(1, len(vocabulary)))
+            return docs, terms.astype(np.uint64), np.diff(np.append(begin, len(pairs)))
         order = np.lexsort((terms, docs))
         docs, terms = docs[order], terms[order]
         first = np.ones(len(docs), bool)
@@ -75,35 +86,60 @@ def chi_square(present: np.ndarray, positive: np.ndarray, n: int, n_positive: in
     return n * (a * d - b * c) ** 2 / np.maximum(present * (n - present) * float(n_positive) * (n - n_positive), 1e-9)
 
 
+def alike(x: np.ndarray) -> np.ndarray:
+    """An order of the rows in which those of a block are alike: halves by the main
+    direction of their spread, again and again. Blocks of like texts have low bounds."""
+    if len(x) <= BLOCK:
+        return np.arange(len(x))
+    x = x - x.mean(0)
+    v = x[np.argmax((x**2).sum(1))]
+    for _ in range(8):
+        v = x.T @ (x @ v)
+        v = v / max(float(np.linalg.norm(v)), 1e-30)
+    order = np.argsort(x @ v, kind="stable")
+    half = -(-len(x) // BLOCK) // 2 * BLOCK
+    return np.concatenate([part[alike(x[part])] for part in (order[:half], order[half:])])
+
+
 class ToxicityModel:
     """The block-max index over the labelled sample and the calibration."""
 
     def __init__(self, base: float):
         self.base, self.vocabulary = base, None
 
-    def fit(self, column, y: np.ndarray, ids: np.ndarray, weight: np.ndarray) -> ToxicityModel:
-        terms = Terms()
-        doc, term, tf = terms(column)
-        every, code, present = np.unique(term, return_inverse=True, return_counts=True)
-        positive = np.bincount(code, y[doc], len(every))
-        chi = chi_square(present, positive, len(y), int(y.sum()))
-        strong = np.flatnonzero((chi >= CHI) & (present >= 3))
-        strong = strong[np.argsort(-chi[strong], kind="stable")[:TERMS]]
-        self.vocabulary = np.sort(every[strong])
-        self.y, self.ids = y.astype(float), ids
-        doc, term, tf = terms(column, self.vocabulary)
+    def fit(self, found, y: np.ndarray, ids: np.ndarray, weight: np.ndarray, idf: np.ndarray) -> ToxicityModel:
+        """``found`` are the sample's ``Terms``; ``idf`` is that of their distinct terms."""
+        doc, term, tf = found
+        self.vocabulary, term, present = np.unique(term, return_inverse=True, return_counts=True)
         n, v = len(y), len(self.vocabulary)
-        self.idf = np.log(1 + n / np.maximum(1, np.bincount(term.astype(np.int64), minlength=v)))
-        value = (1 + np.log(tf)) * self.idf[term.astype(np.int64)]
+        self.factor = idf * (1 + chi_square(present, np.bincount(term, y[doc], v), n, int(y.sum())))
+        value = (1 + np.log(tf)) * self.factor[term]
         norm = np.sqrt(np.bincount(doc, value**2, n))
+        unit = (value / norm[doc]).astype(np.float32)
         padded = -(-n // BLOCK) * BLOCK
-        self.dense = np.zeros((padded, v), np.float32)
-        self.dense[doc, term.astype(np.int64)] = value / norm[doc]
-        self.peak = self.dense.reshape(padded // BLOCK, BLOCK, v).max(1).T.copy()  # term by block
+        common = present * RARE >= n
+        self.place = np.where(common, np.cumsum(common) - 1, -1)  # a common term's column
+        at = common[term]
+        x = np.zeros((n, int(common.sum())), np.float32)
+        x[doc[at], self.place[term[at]]] = unit[at]
+        order = alike(x)
+        y, ids, weight, norm = y[order], ids[order], weight[order], norm[order]
+        doc = np.argsort(order)[doc]
+        order = np.argsort(doc, kind="stable")
+        doc, term, value, unit = doc[order], term[order], value[order], unit[order]
+        self.y, self.ids = y.astype(float), ids
+        self.dense = np.zeros((padded, int(common.sum())), np.float32, order="F")  # a term's column in one place
+        at = common[term]
+        self.dense[doc[at], self.place[term[at]]] = unit[at]
+        self.peak = self.dense.T.reshape(-1, padded // BLOCK, BLOCK).max(2)  # term by block
+        order = np.flatnonzero(~at)[np.argsort(term[~at], kind="stable")]
+        self.row, self.unit = doc[order], unit[order]  # postings of the others, by term
+        self.size = np.where(common, 0, present)
+        self.begin = np.cumsum(self.size) - self.size
         self.blank = np.append(norm == 0, np.ones(padded - n, bool))
         votes = np.full(n, np.nan)
         for i, (t, q) in self._queries(doc, term, value, norm):
-            votes[i] = self.vote(*self.nearest(t, q, skip=i))
+            votes[i] = self.vote(*self.neighbours(t, q, skip=i))
         linked = ~np.isnan(votes)
         if 0 < y[linked].sum() < linked.sum():
             self.slope, self.shift = platt(votes[linked], y[linked], weight[linked])
@@ -125,19 +161,31 @@ class ToxicityModel:
         for lo, hi in zip(begin, np.append(begin[1:], len(doc))):
             yield int(doc[lo]), (term[lo:hi].astype(np.int64), (value[lo:hi] / norm[doc[lo]]).astype(np.float32))
 
-    def nearest(self, t: np.ndarray, q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Labelled rows nearest to the query and their cosines, exact."""
-        bound = q @ self.peak[t]
+    def neighbours(self, t: np.ndarray, q: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Labelled rows nearest to the query over all terms and their cosines, exact."""
+        place, size = self.place[t], self.size[t]
+        at = np.repeat(self.begin[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        rest = np.bincount(self.row[at], self.unit[at] * np.repeat(q, size), len(self.dense)).astype(np.float32)
+        return self.nearest(place[place >= 0], q[place >= 0], skip, rest)
+
+    def nearest(self, t: np.ndarray, q: np.ndarray, skip: int = -1, rest: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Labelled rows nearest to the query by the common terms (their columns)
+        and what the ``rest`` of the terms adds to each row's cosine."""
+        rest = np.zeros(len(self.dense), np.float32) if rest is None else rest
+        bound = q @ self.peak[t] + rest.reshape(-1, BLOCK).max(1)
+        bound *= 1 + 1e-5  # rounding of either sum
+        grid = self.dense.T.reshape(self.dense.shape[1], -1, BLOCK)
         order = np.argsort(-bound, kind="stable")
-        rows, scores, least, lo = [], [], 0.0, 0
+        rows, scores, least, lo, step = [], [], 0.0, 0, 4
         while lo < len(order) and bound[order[lo]] > least:
-            some = order[lo:lo + 4]  # the next few blocks by bound
+            some = order[lo:lo + step]  # the next few blocks by bound
+            some = some[bound[some] > least]
             at = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            cosine = self.dense[at[:, None], t] @ q
+            cosine = q @ grid[t[:, None], some].reshape(len(t), len(at)) + rest[at]
             keep = (cosine > least) & (at != skip) & ~self.blank[at]
             rows.append(at[keep])
             scores.append(cosine[keep])
-            lo += 4
+            lo, step = lo + step, 2 * step
             if sum(map(len, rows)) >= NEIGHBOURS:
                 r, s = np.concatenate(rows), np.concatenate(scores)
                 top = np.lexsort((r, -s))[:NEIGHBOURS]
@@ -160,14 +208,14 @@ class ToxicityModel:
             return np.full(len(column), self.base), [[]] * len(column)
         out, evidence = np.full(len(column), self.alone), [[] for _ in range(len(column))]
         doc, term, tf = terms(column, self.vocabulary)
-        value = (1 + np.log(tf)) * self.idf[term.astype(np.int64)]
+        value = (1 + np.log(tf)) * self.factor[term.astype(np.int64)]
         norm = np.sqrt(np.bincount(doc, value**2, len(column)))
         for i, (t, q) in self._queries(doc, term, value, norm):
-            key = t.tobytes() + q.tobytes()
+            key = hashlib.blake2b(t.tobytes() + q.tobytes(), digest_size=16).digest()
             if key not in known:
                 if len(known) > 50_000:
                     known.clear()
-                rows, cosines = self.nearest(t, q)
+                rows, cosines = self.neighbours(t, q)
                 v = self.vote(rows, cosines)
                 p = self.alone if np.isnan(v) else 1 / (1 + np.exp(-np.clip(self.slope * v + self.shift, -500, 500)))
                 known[key] = (p, self.ids[rows[:EVIDENCE]].tolist())
@@ -175,6 +223,31 @@ class ToxicityModel:
         return out, evidence
 
 
+def inverse_frequency(documents: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """The idf of the terms in ``vocabulary``, over all documents. Tasks count for
+    themselves; one number a term reaches the driver."""
+    shared = Shared(documents.sparkSession, vocabulary)
+
+    def run(batches):
+        import pyarrow as pa
+
+        known, terms, n = shared.value, Terms(), 0
+        counts = np.zeros(len(known), np.int64)
+        for batch in batches:
+            for part in blocks(batch, 2 << 20):
+                counts += np.bincount(terms(part.column("text"), known)[1].astype(np.int64), minlength=len(known))
+                n += part.num_rows
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(counts[used], n))], names=["term", "n"])
+
+    texts = documents.select("text").filter(F.col("text").isNotNull())
+    sums = texts.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = sums.column("term").to_numpy(), sums.column("n").to_numpy()
+    count = np.zeros(len(vocabulary), np.int64)
+    count[term[term >= 0]] = n[term >= 0]
+    return np.log(1 + n[term < 0].sum() / np.maximum(1, count))
+
+
 def fit(documents: DataFrame, labels: DataFrame, excluded: Column, label: str = "toxic", per_class: int = 1536) -> ToxicityModel:
     """Learns from at most ``per_class`` labelled texts of each class."""
     import pyarrow as pa
@@ -186,7 +259,9 @@ def fit(documents: DataFrame, labels: DataFrame, excluded: Column, label: str =
     model = ToxicityModel(base)
     if len(set(y)) < 2:
         return model
-    return model.fit(pa.array([t for t, _, _ in sample]), y, np.array([i for _, _, i in sample]), weight)
+    found = Terms()(pa.array([t for t, _, _ in sample]))
+    idf = inverse_frequency(documents, np.unique(found[1]))
+    return model.fit(found, y, np.array([i for _, _, i in sample]), weight, idf)
 
 
 def _scorer(shared):

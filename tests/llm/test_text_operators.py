@@ -388,6 +388,30 @@ def test_block_max_search_equals_all_cosines():
         assert np.allclose(scores, [-c for c, _ in want], atol=1e-6) and len(rows) == len(want)
 
 
+def test_rare_insults_link_texts_and_cosines_cover_all_terms(spark):
+    insults = [f"{a}{b}ak" for a in ("zu", "ki", "po", "wa", "ny") for b in ("rr", "ll", "tt", "mm", "ss", "dd")]
+    rows = [(i, prose(12) + (f" {insults[i // 2 % 29]} " if i % 2 else " ") + prose(12)) for i in range(360)]
+    docs = frame(spark, rows)  # each insult in 6 of 360 texts, all of them toxic
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, mark int")
+    model = toxicity.fit(docs, labels, F.col("doc_id") % 5 == 0, label="mark", per_class=4096)
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model, keep=["doc_id"]).collect()}
+    assert np.mean([(got[i]["score"] >= 0.5) == (i % 2 == 1) for i in range(0, 360, 5)]) > 0.95
+    assert all(got[i]["evidence"][0] // 2 % 29 == i // 2 % 29 for i in range(5, 360, 10))
+    doc, term, tf = toxicity.Terms()(pa.array([t for _, t in rows]))
+    every, code, present = np.unique(term, return_inverse=True, return_counts=True)
+    assert set(model.vocabulary) <= set(every) and len(model.vocabulary) == len(every)
+    vector = np.zeros((len(rows), len(every)))
+    vector[doc, code] = (1 + np.log(tf)) * model.factor[code]
+    vector /= np.linalg.norm(vector, axis=1)[:, None]
+    at = {int(i): r for r, (i, _) in enumerate(rows)}
+    labelled_rows = vector[[at[int(i)] for i in model.ids]]
+    for r in (0, 5, 77):
+        t = np.flatnonzero(vector[r])
+        near, cosines = model.neighbours(t, vector[r, t].astype(np.float32))
+        want = np.sort(labelled_rows @ vector[r])[::-1][:toxicity.NEIGHBOURS]
+        assert np.allclose(cosines, want, atol=1e-5)
+
+
 @pytest.mark.parametrize("module,label", [(quality, "mark"), (toxicity, "mark")])
 def test_no_labels_at_all(spark, module, label):
     docs = frame(spark, EDGE)
