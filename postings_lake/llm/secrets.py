@@ -6,10 +6,10 @@ text between them come from the same pattern, so running lengths give every
 match's position in code points.
 
 The method adds spans: candidates are runs of ``CANDIDATE`` characters outside
-base spans. Two character Markov models (pair counts, backed off to shares of
+base spans (which cut the runs they lie in). Two character Markov models (pair counts, backed off to shares of
 single characters), one of random strings and one of ordinary identifiers, are trained from labelled
-samples, and a candidate is a secret when the log-likelihood ratio of its pairs
-reaches ``THRESHOLD``. The ratios of all pairs are one table of 128 x 128 whole
+samples, and a candidate is a secret when the log-likelihood ratio of some stretch
+of its pairs reaches ``THRESHOLD``, whatever ordinary text is joined to it. The ratios of all pairs are one table of 128 x 128 whole
 numbers (thousandths), which the scan holds as a literal array.
 
 Defined cases: a null text is empty; an empty text has no span; texts are read
@@ -159,21 +159,27 @@ def fit(documents: DataFrame) -> list[int]:
 
 
 def added_spans(text: Column, base: Column, table: list[int], threshold: int = THRESHOLD) -> Column:
-    """Candidates outside base spans whose ratio reaches ``threshold``."""
+    """Candidates outside base spans of whose stretches one reaches ``threshold``."""
     ratios = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
 
-    def piece_ratio(piece):
-        return F.aggregate(pair_codes(piece), F.lit(0), lambda acc, p: acc + F.get(ratios, p))
+    nothing = F.lit(0).cast("long")
+
+    def further(acc, pair):
+        run = acc["run"] + F.get(ratios, pair)
+        return F.struct(F.greatest(run, nothing).alias("run"), F.greatest(acc["best"], run).alias("best"))
 
     def random(value):
         # Long candidates go in pieces, each with the last character of the one before.
         cut = F.regexp_extract_all(value, F.lit(f".{{1,{PIECE}}}"), F.lit(0))
         joined = bound(cut, lambda ps: F.transform(ps, lambda p, i: F.concat(
             F.when(i > 0, F.right(F.get(ps, i - 1), F.lit(1))).otherwise(F.lit("")), p)))
-        return F.aggregate(joined, F.lit(0).cast("long"), lambda acc, p: acc + piece_ratio(p)) >= threshold
+        start = F.struct(nothing.alias("run"), nothing.alias("best"))
+        return F.aggregate(joined, start, lambda acc, p: F.aggregate(pair_codes(p), acc, further))["best"] >= threshold
+
+    def blank(at, span):
+        return F.repeat(F.lit(" "), F.greatest(span["end"] - F.greatest(at, span["start"]), F.lit(0)))
 
-    spans = located(text, CANDIDATE, 3, random)
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return bound(replaced(text, base, blank), lambda outside: located(outside, CANDIDATE, 3, random))
 
 
 def scan(documents: DataFrame, table: list[int]) -> DataFrame:
@@ -195,17 +201,23 @@ def listed(spans: str) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def marked(spans: Column, piece: Column, offset: Column, mark: str) -> Column:
-    """A piece of a text, from ``offset`` on, with each of its spans as ``mark``."""
+def marked(spans: Column, piece: Column, offset: Column, mark) -> Column:
+    """A piece of a text, from ``offset`` on, with each of its spans as ``mark(at,
+    span)``, where ``at`` is the end of the spans before."""
     start = F.struct(offset.alias("at"), F.lit("").alias("out"))
     return F.aggregate(spans, start, lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(
-            acc["out"], F.substring(piece, acc["at"] - offset + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out")))["out"]
+        F.concat(acc["out"], F.substring(piece, acc["at"] - offset + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
+                 mark(acc["at"], s)).alias("out")))["out"]
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span (or run of overlapping spans) replaced by ``mark``.
+    """The text with every span (or run of overlapping spans) replaced by ``mark``."""
+    return replaced(text, spans, lambda at, s: F.when(s["start"] < at, "").otherwise(mark))
+
+
+def replaced(text: Column, spans: Column, mark) -> Column:
+    """The text with ``mark(at, span)`` in place of spans, as ``marked`` has it.
 
     Blocks of spans each work on their own piece of the text, which ends where
     the furthest span so far does."""

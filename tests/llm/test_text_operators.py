@@ -279,6 +279,18 @@ def test_redaction_covers_overlapping_spans(spark, ratios):
     assert secrets.scan(frame(spark, []), ratios).count() == 0
 
 
+def test_random_strings_joined_to_base_spans_or_names_are_found(spark, ratios):
+    key = base64.b64encode(hashlib.sha256(b"joined").digest()).decode().replace("/", "x").replace("+", "y")[:40]
+    access, digest, path = "AKIA" + "Q7" * 8, hashlib.md5(b"z").hexdigest(), "handle_request_timeout_" * 60
+    texts = {1: f"a {access}/{key} b", 2: f"a {access}={key} b", 3: f"a {digest}_{key} b", 4: f"a {path}{key} b", 5: f"a {path} b"}
+    found = secrets.scan(frame(spark, list(texts.items())), ratios).withColumn("all", secrets.listed("spans"))
+    got = {r["doc_id"]: r for r in found.withColumn("clean", secrets.redacted(F.col("text"), F.col("spans"))).collect()}
+    assert {i: r["all"] for i, r in got.items()} == {
+        1: "access:2:22,random:22:63", 2: "access:2:22,random:22:63", 3: "hex:2:34,random:34:75",
+        4: f"random:2:{len(path) + 42}", 5: ""}
+    assert not any(key in r["clean"] for r in got.values()) and got[5]["clean"] == texts[5]
+
+
 def test_many_spans_and_long_candidates(spark, ratios):
     packed = "".join(base64.b64encode(hashlib.sha256(str(k).encode()).digest()).decode().rstrip("=") for k in range(250))
     parts, clean = [], []
