@@ -46,4 +46,25 @@ select conv_id, count(*) as n_turns,
   cast(sum(n) as bigint) as formatted_chars
 from f group by conv_id"""
 
-ORACLES: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op7_chat": CHAT}
+_DRAW = "cast('0x' || substr(d, {0}, 8) as bigint)"
+
+FILL_MIDDLE = f"""
+with t as (
+  select doc_id, coalesce(text, '') as x, length(coalesce(text, '')) as n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as d
+  from documents
+),
+h as (select *, {_DRAW.format(1)} % (n + 1) as c1, {_DRAW.format(9)} % (n + 1) as c2, {_DRAW.format(17)} as h3, {_DRAW.format(25)} as h4 from t),
+f as (
+  select *, least(c1, c2) as a, greatest(c1, c2) as b,
+    case when x = '' or contains(x, '<P>') or contains(x, '<S>') or contains(x, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from h
+),
+p as (select *, substr(x, 1, a) as pre, substr(x, a + 1, b - a) as mid, substr(x, b + 1) as suf from f)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then x when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(x) as restored_sha256
+from p"""
+
+ORACLES: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op7_chat": CHAT, "op12_fillmiddle": FILL_MIDDLE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postings_lake.llm import bpe, chat, crosspolytope, decontaminate, langid, maxent, quality, secrets, simhash, toxicity
+from postings_lake.llm import bpe, chat, crosspolytope, decontaminate, fillmiddle, langid, maxent, quality, secrets, simhash, tokenfiles, toxicity
 from postings_lake.llm.common import crc_mod
 
 
@@ -91,6 +91,18 @@ def op10_maxent(spark, sf_dir):
     return maxent.score(marked, model, counts, keep=["doc_id", "held_out"])
 
 
+def op12_fillmiddle(spark, sf_dir):
+    cut = fillmiddle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return cut.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_tokenfiles(spark, sf_dir):
+    import public_tokenizers
+
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_langid, op2_secrets, op3_decontaminate, op4_quality, op5_neighbours, op6_bpe, op7_chat, op8_toxicity, op9_simhash,
-    op10_maxent)}
+    op10_maxent, op12_fillmiddle, op13_tokenfiles)}
