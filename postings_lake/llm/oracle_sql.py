@@ -67,4 +67,29 @@ select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, ca
   sha256(x) as restored_sha256
 from p"""
 
-ORACLES: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op7_chat": CHAT, "op12_fillmiddle": FILL_MIDDLE}
+HARD_NEGATIVES = """
+with u as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [floor(256 * cast(x as double)) for x in embedding] as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([1 for x in embedding if x is null or not isfinite(x)]) = 0
+),
+r as (select vec_id, label, q from u qualify row_number() over (partition by vec_id order by label, q) = 1),
+s as (
+  select a.vec_id as anchor_id, a.label as own, r.vec_id, r.label, cast(list_inner_product(a.q, r.q) as bigint) as score
+  from r as a join r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id and len(a.q) = len(r.q)
+),
+p as (
+  select anchor_id, own, vec_id as positive_id, score as positive_score from s where label = own
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+),
+n as (
+  select p.anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+  from p join s on s.anchor_id = p.anchor_id and s.label <> p.own
+    and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
+ORACLES: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op7_chat": CHAT, "op11_hardneg": HARD_NEGATIVES, "op12_fillmiddle": FILL_MIDDLE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postings_lake.llm import bpe, chat, crosspolytope, decontaminate, fillmiddle, langid, maxent, quality, secrets, simhash, tokenfiles, toxicity
+from postings_lake.llm import bpe, chat, crosspolytope, decontaminate, fillmiddle, hardneg, langid, maxent, quality, secrets, simhash, tokenfiles, toxicity
 from postings_lake.llm.common import crc_mod
 
 
@@ -91,6 +91,12 @@ def op10_maxent(spark, sf_dir):
     return maxent.score(marked, model, counts, keep=["doc_id", "held_out"])
 
 
+def op11_hardneg(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_fillmiddle(spark, sf_dir):
     cut = fillmiddle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return cut.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
@@ -105,4 +111,4 @@ def op13_tokenfiles(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_langid, op2_secrets, op3_decontaminate, op4_quality, op5_neighbours, op6_bpe, op7_chat, op8_toxicity, op9_simhash,
-    op10_maxent, op12_fillmiddle, op13_tokenfiles)}
+    op10_maxent, op11_hardneg, op12_fillmiddle, op13_tokenfiles)}
