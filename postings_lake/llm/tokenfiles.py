@@ -24,10 +24,10 @@ the sequence come from two levels of running sums over files, never from one tas
 that sees all.
 
 The tokenizers library encodes pieces of the texts, each once a task while remembered
-(``CACHE_BYTES``): the words that its own pattern finds, where a text holds only printable
-ASCII and common Latin letters, else what stands between spaces, tabs and line feeds.
-That equals its result on the whole text: its words are encoded one by one, never reach
-across white space, and neither do normal forms.
+(``CACHE_BYTES``). Texts are cut at spaces, tabs and line feeds; what stands between is
+cut further by the tokenizer's own pattern where it holds only printable ASCII and common
+Latin letters, else it is a piece. That equals the library's result on the whole text: its
+words are encoded one by one, never reach across white space, and neither do normal forms.
 
 Defined cases: a null text is empty and holds the end id only; repeated documents are
 documents of their own; an empty table gives no documents; extra columns, whatever
@@ -37,9 +37,9 @@ long as they need; ``doc_id`` must be an integer column.
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -51,18 +51,24 @@ from postings_lake.llm.textarrays import blocks
 # Ids a word and bits an id of selectors 1 to 14 (Simple-8b).
 PACKINGS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE, PAYLOAD = 0, 60
+_COUNTS, _WIDTHS = (np.array(c) for c in zip(*PACKINGS))
+WINDOW, NEAR = 60, np.arange(8)  # ids that a word may hold; of these, those looked at first
+_FIRST_NEAR = int(np.argmax(_COUNTS <= len(NEAR))) + 1  # selector of the first count among them
+_NEAR_COUNTS, _NEAR_WIDTHS = _COUNTS[_FIRST_NEAR - 1:], _WIDTHS[_FIRST_NEAR - 1:]
+_FAR_BITS = int(_WIDTHS[_FIRST_NEAR - 2])  # more bits than these rule out every larger count
 MAGIC = b"S8BIDS01"
 BLOCK = 4096
-AT_ONCE = 64  # blocks packed or unpacked at a time
+AT_ONCE = 1024  # blocks packed or unpacked at a time
 FILE_IDS = 4_000_000
 PARTITION_BYTES = 64 << 20  # text bytes a range of ids holds
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 160 << 20
+ENTRY_BYTES = 150  # what a remembered piece takes beside its text and ids
 FILES_SUMMED = 1024  # partitions of files whose running sums one group makes
 
 # The pattern that the public tokenizer splits lower-case text by, spelt out for code
 # points whose class, normal form and lower case are the same in every Unicode version.
 LOWER = "a-z\xdf-\xf6\xf8-\xff\u0101\u0103\u0105\u0107\u0111\u0119\u011b\u0131\u0142\u0144\u0151\u0153\u0159\u015b\u0161\u0171\u017a\u017c\u017e"
-PLAIN = re.compile(f"[\t\n\r \x21-\x7e{LOWER}\xc0-\xd6\xd8-\xde]*")
+PLAIN = f"[\r\x21-\x7e{LOWER}\xc0-\xd6\xd8-\xde]*"
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^\t\n\r {LOWER}0-9]+")
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"  # fixed value: as the tokenizer file says
 
@@ -73,49 +79,54 @@ def bit_lengths(ids: np.ndarray) -> np.ndarray:
 
 
 def _pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of some whole blocks (the last may be short) and each block's first word."""
-    n = len(ids)
-    bits, place = bit_lengths(ids), np.arange(n)
-    end = np.minimum((place // BLOCK + 1) * BLOCK, n)
-    selector, step, emitted = np.full(n, ESCAPE, np.int8), np.ones(n, np.int64), np.ones(n, np.int64)
-    open_ = np.ones(n, bool)  # no selector yet; narrow ones, with larger counts, come first
-    for s, (count, width) in enumerate(PACKINGS, 1):
-        wide = bits > width
-        if wide.all():
-            continue
-        stop = np.minimum(np.minimum.accumulate(np.where(wide, place, n)[::-1])[::-1], end)
-        fits = open_ & ((stop - place >= count) | (stop == end) & ~wide)
-        selector[fits] = s
-        step[fits] = np.minimum(count, (end - place)[fits])
-        open_ &= ~fits
-    if open_.any():  # ids of more than 60 bits: one escape for all that follow each other
-        stop = np.minimum(np.minimum.accumulate(np.where(open_, n, place)[::-1])[::-1], end)
-        step[open_] = (stop - place)[open_]
-        emitted[open_] = 1 + step[open_]
-    starts, at = [], np.arange(0, n, BLOCK)
-    while len(at):  # one word further in every block at once
+    """Words of some whole blocks (the last may be short) and each block's first word.
+
+    All blocks go forward together, one word at a step; what lies beyond a block's end
+    counts as zeros, which fit any word.
+    """
+    n, n_blocks = len(ids), -(-len(ids) // BLOCK)
+    width = BLOCK + WINDOW
+    value = np.zeros((n_blocks, width), np.uint64)
+    value[:, :BLOCK].flat[:n] = ids  # row by row
+    bits, value = bit_lengths(value).ravel(), value.ravel()
+    end = np.arange(n_blocks) * width + BLOCK
+    end[-1] = (n_blocks - 1) * width + n - (n_blocks - 1) * BLOCK
+    at, starts, selectors, steps = np.arange(n_blocks) * width, [], [], []
+    while len(at):
+        most = np.maximum.accumulate(bits[at[:, None] + NEAR], axis=1)
+        fits = most[:, _NEAR_COUNTS - 1] <= _NEAR_WIDTHS
+        selector = np.where(fits.any(1), _FIRST_NEAR + fits.argmax(1), ESCAPE)
+        far = np.flatnonzero(most[:, -1] <= _FAR_BITS)  # a larger count may fit
+        if len(far):
+            most = np.maximum.accumulate(bits[at[far][:, None] + np.arange(WINDOW)], axis=1)
+            selector[far] = 1 + (most[:, _COUNTS - 1] <= _WIDTHS).argmax(1)
+        step = np.append(0, _COUNTS)[selector]
+        for i in np.flatnonzero(selector == ESCAPE):  # ids of more than 60 bits: all that follow each other
+            after = np.flatnonzero(bits[at[i]:end[at[i] // width]] <= PAYLOAD)
+            step[i] = after[0] if len(after) else end[at[i] // width] - at[i]
         starts.append(at)
-        last = end[at]
-        at = at + step[at]
-        at = at[at < last]
-    starts = np.sort(np.concatenate(starts)) if starts else np.zeros(0, np.int64)
-    size = emitted[starts]
+        selectors.append(selector)
+        steps.append(step)
+        on = at + step < end[at // width]
+        at = (at + step)[on]
+    starts, selector, step = (np.concatenate(x) for x in (starts, selectors, steps))
+    order = np.argsort(starts)
+    starts, selector, step = starts[order], selector[order], step[order]
+    size = np.where(selector == ESCAPE, 1 + step, 1)
     where = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
-    padded = np.concatenate([ids, np.zeros(60, np.uint64)])
-    for s, (count, width) in enumerate(PACKINGS, 1):
-        mine = selector[starts] == s
-        if mine.any():
-            first = starts[mine]
-            cells = first[:, None] + np.arange(count)
-            value = np.where(cells < end[first][:, None], padded[cells], np.uint64(0))
-            value <<= (np.arange(count, dtype=np.uint64) * np.uint64(width))
-            words[where[mine]] = np.bitwise_or.reduce(value, 1) | np.uint64(s) << np.uint64(PAYLOAD)
-    for i in np.flatnonzero(selector[starts] == ESCAPE):
-        run, w = int(step[starts[i]]), int(where[i])
+    for s, (count, bits_each) in enumerate(PACKINGS, 1):
+        mine = np.flatnonzero(selector == s)
+        if len(mine):
+            packed = np.full(len(mine), np.uint64(s) << np.uint64(PAYLOAD))
+            for k in range(count):
+                packed |= value[starts[mine] + k] << np.uint64(k * bits_each)
+            words[where[mine]] = packed
+    for i in np.flatnonzero(selector == ESCAPE):
+        w, run = int(where[i]), int(step[i])
         words[w] = run
-        words[w + 1:w + 1 + run] = ids[starts[i]:starts[i] + run]
-    return words, where[np.searchsorted(starts, np.arange(0, n, BLOCK))]
+        words[w + 1:w + 1 + run] = value[starts[i]:starts[i] + run]
+    return words, where[np.searchsorted(starts, np.arange(n_blocks) * width)]
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,50 +221,63 @@ class Record:
         return unpack(self.words, self.firsts, self.n_ids, b, -(-hi // BLOCK))[lo - b * BLOCK:hi - b * BLOCK]
 
 
-class PieceIds(dict):
-    """Pieces -> their ids (little-endian unsigned 32-bit), by the tokenizers library."""
+class WordIds:
+    """``words``: what stands between spaces -> its ids (little-endian unsigned 32-bit), by
+    the tokenizers library; ``pieces``: the same of the words within that its pattern finds."""
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
-        super().__init__({"": b""})
         spec = json.loads(tokenizer)
         split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         lower = {"type": "Lowercase"} in (spec.get("normalizer") or {}).get("normalizers", [])
-        if not lower or split.get("pattern") != {"Regex": SPLIT} or not split.get("invert") or split.get("behavior") != "Removed":
-            raise ValueError("only tokenizers that lower-case and drop white space by this pattern are supported")
-        self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.library, self.held = Tokenizer.from_str(tokenizer), 0
+        suffix = spec["model"].get("end_of_word_suffix")
+        if not lower or not suffix or split.get("pattern") != {"Regex": SPLIT} or not split.get("invert") or split.get("behavior") != "Removed":
+            raise ValueError("only tokenizers that lower-case, drop white space by this pattern and mark the ends of words are supported")
+        self.library, self.pieces, self.held = Tokenizer.from_str(tokenizer), {}, 0
+        self.words: dict[str, bytes] = {"": b""}
         self.library.no_truncation()
         self.library.no_padding()
-
-    def pieces(self, text: str) -> list[str]:
-        if any(a in text for a in self.added):
-            return split_spaces(text)
-        if PLAIN.fullmatch(text):
-            return WORDS.findall(text.lower())
-        return [p for w in split_spaces(text) for p in (WORDS.findall(w.lower()) if PLAIN.fullmatch(w) else [w])]
-
-    def learn(self, pieces: list[str]) -> None:
-        """Adds missing pieces; forgets all others first where they fill ``CACHE_BYTES``."""
-        new = set(pieces).difference(self)
-        if self.held > CACHE_BYTES:
-            self.clear()
-            self[""], self.held = b"", 0
-            new = set(pieces) - {""}
-        new = list(new)
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            coded = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # whether an id ends a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        added = "|".join(re.escape(t["content"]) for t in spec.get("added_tokens", []))
+        self.plain = re.compile(f"(?!.*(?:{added})){PLAIN}" if added else PLAIN, re.DOTALL).fullmatch
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids."""
+        if self.held + ENTRY_BYTES * (len(self.words) + len(self.pieces)) > CACHE_BYTES:  # forget all, and learn anew
+            self.words, self.pieces, self.held = {"": b""}, {}, 0
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        new = list(set().union(*split).difference(self.words))
+        for lo in range(0, len(new), 2048):
+            self.learn(new[lo:lo + 2048])
+        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+
+    def learn(self, words: list[str]) -> None:
+        plain, odd = [], []
+        for w in words:
+            (plain if self.plain(w) else odd).append(w)
+        found = [WORDS.findall(w.lower()) for w in plain]
+        new = list({p for pieces in found for p in pieces}.difference(self.pieces))
+        for lo in range(0, len(new), 64):  # one word each: its last id says where it ends
+            some = new[lo:lo + 64]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            self._keep(self.pieces, some, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
+        for w, pieces in zip(plain, found):
+            ids = self.words[w] = b"".join(map(self.pieces.__getitem__, pieces))
+            self.held += len(w) + len(ids)
+        if odd:
+            coded = self.library.encode(odd, is_pretokenized=True, add_special_tokens=False)
             word = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
-            cut = (4 * np.searchsorted(word, np.arange(len(some) + 1))).tolist()
-            flat = np.array(coded.ids, "<u4").tobytes()
-            self.update(zip(some, [flat[a:b] for a, b in zip(cut, cut[1:])]))
-            self.held += len(flat) + sum(map(len, some)) + 200 * len(some)
-
+            self._keep(self.words, odd, np.array(coded.ids, "<u4"), np.searchsorted(word, np.arange(len(odd) + 1)))
 
-def split_spaces(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").split(" ")
+    def _keep(self, into: dict, texts: list[str], ids: np.ndarray, cut: np.ndarray) -> None:
+        if len(cut) != len(texts) + 1:
+            raise ValueError("the tokenizer does not end each word with its suffix")
+        flat, cut = ids.tobytes(), (4 * cut).tolist()
+        into.update(zip(texts, [flat[a:b] for a, b in zip(cut, cut[1:])]))
+        self.held += len(flat) + sum(map(len, texts))
 
 
 def _written(batches, tokenizer: str, end_id: int, file_ids: int):
@@ -261,7 +285,8 @@ def _written(batches, tokenizer: str, end_id: int, file_ids: int):
     import pyarrow as pa
     from pyspark import TaskContext
 
-    known, end = PieceIds(tokenizer), np.array([end_id], "<u4").tobytes()
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    known, end = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
     partition, number = TaskContext.get().partitionId(), 0
     docs, sizes, parts, held = [], [], [], 0
 
@@ -271,13 +296,11 @@ def _written(batches, tokenizer: str, end_id: int, file_ids: int):
 
     for batch in batches:
         for part in blocks(batch, 2 << 20):
-            split = [known.pieces(t or "") for t in part.column("text").to_pylist()]
-            known.learn(list(chain.from_iterable(split)))
-            for doc, pieces in zip(part.column("doc_id").to_pylist(), split):
-                ids = b"".join([*map(known.__getitem__, pieces), end])
+            coded = known.encode([t or "" for t in part.column("text").to_pylist()])
+            for doc, ids in zip(part.column("doc_id").to_pylist(), coded):
                 docs.append(doc)
-                sizes.append(len(ids) // 4)
-                parts.append(ids)
+                sizes.append(len(ids) // 4 + 1)
+                parts += ids, end
                 held += sizes[-1]
                 if held >= file_ids:
                     yield record()
