@@ -19,13 +19,15 @@ longest that an arc allows is taken, and positions without a way on are marked
 dead. A prefix has only one correct tokenization, so a position is only ever
 reached from one state. Decoding emits the byte labels of the arcs.
 
-Added tokens found in a text are split off first, as the library does. Letters
-and numbers follow the Unicode version of the installed pattern library, which
-may know a few newer code points than the tokenizers library.
+Added tokens found in a text are split off first, as the library does. Letters,
+numbers and white space are what the tokenizers library takes for them: its class of every
+code point is asked for when the automaton is compiled, and code points of which the
+pattern library knows another class are matched through a stand-in of the right one.
 
 Defined cases: a null text is empty and gives no tokens; very long texts are
 split into words by an iterator, so no list of all words is built; rows are
-independent, so repeated rows and extra columns change nothing.
+independent, so repeated rows and extra columns, whatever their names, change nothing
+(a kept column named as a result is replaced by it).
 """
 from __future__ import annotations
 
@@ -40,8 +42,9 @@ from postings_lake.llm.common import Shared, map_texts
 
 # Fixed value: the pattern that the public byte-level tokenizer splits words by.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_WORDS = 500_000  # words whose ids a task remembers; then it starts anew
-TABLED_ARCS = 1_000_000
+CACHE_BYTES = 96 << 20  # words and ids that a task remembers, about; then it starts anew
+ENTRY_BYTES = 150  # what a remembered word takes beside its characters and ids
+TABLED_ARCS = 500_000
 LONG_TEXT = 1 << 20
 DECODED_IDS = 1 << 18
 
@@ -52,6 +55,54 @@ LATIN_PATTERN = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPAC
                  f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
+STAND_INS = {"L": "\u00e9", "N": "\u00b2", "S": "\u2003", "O": "\u00a7"}  # one code point of each class
+
+
+def classes_known(found) -> str:
+    """The class of every code point (``L``, ``N``, ``S`` or ``O``; surrogates ``O``), where
+    ``found(text)`` gives the pieces of a text that the pattern finds."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c not in (0x20, 0x27)]
+    out, at = ["O"] * 0x110000, 0
+    for piece in found("".join(map(chr, points))):  # a piece has code points of one class
+        c = piece[0]
+        if found(f"a{c}1") == [f"a{c}", "1"]:
+            kind = "L"
+        elif found(f"a{c}1") == ["a", f"{c}1"]:
+            kind = "N"
+        else:
+            kind = "O" if found(f"!{c}!") == [f"!{c}!"] else "S"
+        for k in range(at, at + len(piece)):
+            out[points[k]] = kind
+        at += len(piece)
+    if at != len(points):
+        raise ValueError("the pattern does not cover every text")
+    out[0x20] = "S"
+    return "".join(out)
+
+
+def stand_ins(pre_tokenizer) -> dict[int, str]:
+    """Code points whose class the tokenizers library and the pattern library see
+    differently, and a stand-in of the class that counts."""
+    import regex
+
+    def library(text: str) -> list[str]:
+        return [text[a:b] for _, (a, b) in pre_tokenizer.pre_tokenize_str(text)]
+
+    want, have = classes_known(library), classes_known(regex.compile(WORD_PATTERN).findall)
+    return {c: STAND_INS[w] for c, (w, h) in enumerate(zip(want, have)) if w != h}
+
+
+def ranges(points) -> str:
+    """A character class of some code points."""
+    points, out = sorted(points), []
+    for c in points:
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
 def byte_symbols() -> dict[str, int]:
     """The printable stand-in of each byte: itself if printable in Latin-1, else
     the next code point from 256 on."""
@@ -63,7 +114,8 @@ def byte_symbols() -> dict[str, int]:
 class TokenAutomaton:
     """Compiled from a tokenizer file's vocabulary, merges and added tokens."""
 
-    def __init__(self, vocabulary: dict[str, int], merges: list, added: list[tuple[str, int]]):
+    def __init__(self, vocabulary: dict[str, int], merges: list, added: list[tuple[str, int]], differ: dict[int, str] | None = None):
+        self.differ = differ or {}
         symbol = byte_symbols()
         self.label = {i: bytes(symbol[c] for c in t) for t, i in vocabulary.items() if all(c in symbol for c in t)}
         self.birth = {vocabulary[s]: -1 for s in symbol if s in vocabulary}
@@ -177,19 +229,26 @@ class Encoder(dict):
         self.automaton = automaton
         self.pattern, self.latin = regex.compile(WORD_PATTERN), re.compile(LATIN_PATTERN)
         self.beyond = re.compile("[^\x00-\u024f]")
+        self.differ = re.compile(f"[{ranges(automaton.differ)}]") if automaton.differ else None
+        self.held = 0
         added = sorted(automaton.added, key=len, reverse=True)
         self.apart = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
+            self.held = 0
         ids = np.array(self.automaton.encode_word(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
         if len(word) < 64:
             self[word] = ids
+            self.held += 2 * len(word) + len(ids) + ENTRY_BYTES
         return ids
 
     def _plain(self, text: str) -> bytes:
         pattern = self.pattern if self.beyond.search(text) else self.latin
+        if pattern is self.pattern and self.differ and self.differ.search(text):
+            shown = text.translate(self.automaton.differ)  # code point for code point
+            return b"".join(self[text[m.start():m.end()]] for m in pattern.finditer(shown))
         if len(text) < LONG_TEXT:
             return b"".join(map(self.__getitem__, pattern.findall(text)))
         words, out = (m.group() for m in pattern.finditer(text)), []
@@ -232,7 +291,10 @@ def compile_automaton(tokenizer_file: str) -> TokenAutomaton:
     model, split = spec["model"], spec.get("pre_tokenizer") or {}
     if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or spec.get("normalizer") or model.get("ignore_merges"):
         raise ValueError("only plain byte-level BPE files are supported")
-    return TokenAutomaton(model["vocab"], model["merges"], [(t["content"], t["id"]) for t in spec["added_tokens"]])
+    from tokenizers import Tokenizer
+
+    differ = stand_ins(Tokenizer.from_file(tokenizer_file).pre_tokenizer)
+    return TokenAutomaton(model["vocab"], model["merges"], [(t["content"], t["id"]) for t in spec["added_tokens"]], differ)
 
 
 def _coder(shared, decode):

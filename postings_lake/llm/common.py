@@ -14,12 +14,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     ``spark.checkpoint.dir`` if the session names it, else the context's
-    checkpoint folder; a temporary one is set only where neither exists
-    (single-machine tests).
+    checkpoint folder. Where neither exists a local session (tests) gets a temporary
+    one; on a cluster that is an error, as its machines share no temporary folder.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="pl-llm-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
@@ -63,17 +65,17 @@ def balanced_sample(rows: DataFrame, by: str, per_class: int) -> DataFrame:
 
 
 def labelled_texts(documents: DataFrame, labels: DataFrame, by: str, per_class: int,
-                   excluded: Column) -> list[tuple[str, object, int]]:
+                   excluded: Column, max_bytes: int = 1 << 17) -> list[tuple[str, object, int]]:
     """``(text, class, smallest doc_id)`` of a bounded labelled sample, distinct
     texts in order.
 
-    ``excluded`` (over ``doc_id``) takes rows out of learning. The driver holds
-    at most ``per_class`` texts a class; the sample's ids are joined to
-    ``documents`` in one scan.
+    ``excluded`` (over ``doc_id``) takes rows out of learning, and so are texts of more
+    than ``max_bytes``. The driver holds at most ``per_class`` texts of that size a
+    class; the sample's ids are joined to ``documents`` in one scan.
     """
     chosen = balanced_sample(labels.filter(~excluded), by, per_class)
     rows = (
-        documents.select("doc_id", "text").filter(F.col("text").isNotNull())
+        documents.select("doc_id", "text").filter(F.octet_length("text") <= max_bytes)
         .join(F.broadcast(chosen), "doc_id")  # at most per_class ids a class
         .groupBy("text", by).agg(F.min("doc_id").alias("doc_id")).collect()
     )

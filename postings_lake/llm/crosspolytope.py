@@ -16,7 +16,8 @@ that found fewer than ``k`` are searched again over all rows.
 Defined cases: rows whose id or vector is null, empty, zero, or holds null or
 non-finite components take no part; vectors of different lengths are never
 compared; a repeated id counts once for a query (at its least distance), and as
-a query with its smallest usable vector; ties go to the smaller id; no rows, no result.
+a query with its smallest usable vector; ties go to the smaller id; no rows, no result;
+extra columns, whatever their names, are ignored.
 """
 from __future__ import annotations
 
@@ -149,7 +150,7 @@ class Best:
         self.bound[q[full]] = d[full]
 
 
-def _search(rows: DataFrame, blocks: list[QueryBlock], k: int) -> DataFrame:
+def _search(rows: DataFrame, blocks: list[QueryBlock], k: int) -> tuple[DataFrame, Shared]:
     shared = Shared(rows.sparkSession, blocks)
 
     def run(batches):
@@ -164,7 +165,7 @@ def _search(rows: DataFrame, blocks: list[QueryBlock], k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b.block.ids[b.q]), pa.array(b.id), pa.array(b.d)], names=["query_id", "vec_id", "score"])
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score double")
+    return rows.mapInArrow(run, "query_id long, vec_id long, score double"), shared
 
 
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, tables: int = 16, probes: int = 8,
@@ -188,7 +189,10 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, tables: int =
             ready = [] if not block.num_rows else [
                 QueryBlock(ids, x, tables, probes)
                 for ids, x in vectors(block.column("vec_id").chunk(0), block.column("embedding").chunk(0))]
-            part = _search(rows, ready, k)
+            part, shared = _search(rows, ready, k)
+            if n_blocks > 1:  # one block after the other: its queries then leave the tasks
+                part = stored(part, "neighbours-of-block")
+                shared.packed.unpersist()
             found = part if found is None else found.union(part)
         return top(found)
 

@@ -17,7 +17,8 @@ each block is one automaton, broadcast, and one pass over the documents.
 
 Defined cases: a null or empty text or item has no words; items that share an
 ``item_id`` count once; a null ``item_id`` is the empty string; no items, no
-hits. Repeated documents are judged one by one.
+hits. Repeated documents are judged one by one; kept columns named as the results are
+replaced by them.
 """
 from __future__ import annotations
 
@@ -222,20 +223,22 @@ def judge(hits: DataFrame, coverage: int = 20) -> DataFrame:
     return hits.withColumns({"n_hit": n_hit, "contaminated": (n_hit > 0) & (F.lit(coverage) * n_hit >= F.col("n_words"))})
 
 
-def _cutter():
+def _cutter(least):
     finder = Words(alnum_words())
 
     def run(batch):
         data, at = strings(batch.column("text"))
-        s, e, _ = finder.all(data, at)
-        first = np.searchsorted(s, at)
         out = []
         for d, hit in enumerate(batch.column("hit_words").to_pylist()):
-            pieces, pos, hit = [], at[d], np.array(hit, np.int64) + first[d]
-            for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if len(hit) else ():
-                pieces.append(data[pos:s[run[0]]].tobytes())
-                pos = e[run[-1]]
-            out.append((b"".join(pieces) + data[pos:at[d + 1]].tobytes()).decode("utf-8", "replace"))
+            lo, hi = int(at[d]), int(at[d + 1])
+            pieces, pos = [], lo
+            if hit:
+                s, e, _ = finder.all(data, at[d:d + 2])
+                for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
+                    if len(run) >= least:
+                        pieces.append(data[pos:s[run[0]]].tobytes())
+                        pos = int(e[run[-1]])
+            out.append((b"".join(pieces) + data[pos:hi].tobytes()).decode("utf-8", "replace"))
         return [out]
 
     return run
@@ -244,10 +247,10 @@ def _cutter():
 _cutter.reads = ("hit_words",)
 
 
-def remove_spans(hits: DataFrame) -> DataFrame:
-    """Adds ``cleaned``: the text without its hit spans (from the first to the
-    last word of each run of hit words); an empty string for a null text."""
-    return map_texts(hits, hits.columns, "cleaned string", _cutter)
+def remove_spans(hits: DataFrame, least: int = 1) -> DataFrame:
+    """Adds ``cleaned``: the text without its spans of ``least`` or more hit words (each
+    from the first to the last word of a run of them); an empty string for a null text."""
+    return map_texts(hits, hits.columns, "cleaned string", _cutter, (least,))
 
 
 def brute_force(documents: list[tuple], items: list[tuple], window: int = 13) -> dict:

@@ -211,8 +211,9 @@ class Block:
         self.alive = np.ones((len(ids), 1), bool) if tree is None else tree.alive(x, low, high)
 
 
-def _search(rows: DataFrame, blocks: dict[int, Block], compared) -> DataFrame:
-    """Best rows of every slot, for each task: ``width, slot, vec_id, score``."""
+def _search(rows: DataFrame, blocks: dict[int, Block], compared) -> tuple[DataFrame, Shared]:
+    """Best rows of every slot, for each task: ``width, slot, vec_id, score``; and the
+    broadcast to give up once they are read."""
     shared = Shared(rows.sparkSession, blocks)
 
     def run(batches):
@@ -247,7 +248,7 @@ def _search(rows: DataFrame, blocks: dict[int, Block], compared) -> DataFrame:
                 [pa.array(np.full(len(found.slot), width)), pa.array(found.slot), pa.array(found.id), pa.array(found.score.astype(np.int64))],
                 names=["width", "slot", "vec_id", "score"])
 
-    return rows.select("vec_id", "label", "leaf", "q").mapInArrow(run, "width long, slot long, vec_id long, score long")
+    return rows.select("vec_id", "label", "leaf", "q").mapInArrow(run, "width long, slot long, vec_id long, score long"), shared
 
 
 def _first(found: DataFrame, k: int) -> DataFrame:
@@ -339,7 +340,9 @@ def mine(embeddings: DataFrame, is_anchor: Column, positives: int = 5, negatives
                 floor_ = _sampled_bound(ids[which], labels[which], x, sample, positives)
                 first[x.shape[1]] = Block(ids[which], labels[which], x, trees.get(x.shape[1]), floor_[:, None],
                                           np.full((len(which), 1), np.inf), True, positives)
-        top = _first(_search(index, first, compared), positives).select("width", "slot", "rank", "vec_id", "score").toArrow()
+        found, shared = _search(index, first, compared)
+        top = _first(found, positives).select("width", "slot", "rank", "vec_id", "score").toArrow()
+        shared.packed.unpersist()
         asks, paired = {}, {}
         for width, f in first.items():
             got = top.filter(_equal(top.column("width"), width))
@@ -351,9 +354,11 @@ def mine(embeddings: DataFrame, is_anchor: Column, positives: int = 5, negatives
             paired[width] = f.ids[slot], ids, score, slot * positives + rank - 1
         pairs = [(int(w), int(s), int(a), int(p), int(v)) for w, (a_, p_, v_, s_) in paired.items() for a, p, v, s in zip(a_, p_, v_, s_)]
         named = spark.createDataFrame(pairs, "width long, slot long, anchor_id long, positive_id long, positive_score long")
-        found = _first(_search(index, asks, compared), negatives).join(named, ["width", "slot"])
+        found, shared = _search(index, asks, compared)
+        found = _first(found, negatives).join(named, ["width", "slot"])
         found.select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score",
                      F.col("score").alias("negative_score")).write.parquet(f"{folder}/{b}")
+        shared.packed.unpersist()
     return spark.read.schema(fields).parquet(*[f"{folder}/{b}" for b in range(n_blocks)])
 
 

@@ -11,7 +11,8 @@ calibration.
 Defined cases: a text without any line (null, empty, only line breaks) is one
 empty line; very long lines and texts are read whole; repeated rows are scored
 each; with no labelled rows of both classes every score is the share of good
-labels (0.5 without labels).
+labels (0.5 without labels); a kept column named as the result is replaced by it,
+other extra columns change nothing.
 """
 from __future__ import annotations
 

@@ -14,7 +14,8 @@ numbers (thousandths), which the scan holds as a literal array.
 
 Defined cases: a null text is empty; an empty text has no span; texts are read
 whole; spans of different kinds may overlap, spans of one kind do not; repeated
-rows are scanned each; without samples no span is added.
+rows are scanned each; without samples no span is added; columns named ``base`` and
+``spans`` are replaced by the results, other extra columns stay as they are.
 """
 from __future__ import annotations
 

@@ -19,7 +19,7 @@ Exact copies share a fingerprint, so only distinct fingerprints travel.
 Defined cases: null, empty and wordless texts have fingerprint zero and link
 like any other; rows with a null ``doc_id`` are linked but never name a
 component, which is null if no member has an id; repeated rows keep their rows;
-no rows, no result.
+no rows, no result; extra columns, whatever their names, change nothing.
 """
 from __future__ import annotations
 

@@ -58,8 +58,8 @@ _NEAR_COUNTS, _NEAR_WIDTHS = _COUNTS[_FIRST_NEAR - 1:], _WIDTHS[_FIRST_NEAR - 1:
 _FAR_BITS = int(_WIDTHS[_FIRST_NEAR - 2])  # more bits than these rule out every larger count
 MAGIC = b"S8BIDS01"
 BLOCK = 4096
-AT_ONCE = 1024  # blocks packed or unpacked at a time
-FILE_IDS = 4_000_000
+AT_ONCE = 256  # blocks packed or unpacked at a time
+FILE_IDS = 2_000_000
 PARTITION_BYTES = 64 << 20  # text bytes a range of ids holds
 CACHE_BYTES = 160 << 20
 ENTRY_BYTES = 150  # what a remembered piece takes beside its text and ids

@@ -21,7 +21,8 @@ the (smoothed) share of toxic texts among such labelled texts.
 Defined cases: null and empty texts have no terms; equal cosines rank by the
 labelled texts' order in the index; texts are read whole; repeated rows are scored each; with
 no labelled rows of both classes every score is the share of toxic labels (0
-without labels).
+without labels); kept columns named as the results are replaced by them, other extra
+columns change nothing.
 """
 from __future__ import annotations
 

@@ -143,6 +143,9 @@ CONTRACT = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted", "evidence"],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_maxent": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op11_hardneg": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op12_fillmiddle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    "op13_tokenfiles": ["doc_id", "start", "n_tokens", "ids_crc32"],
 }
 
 
@@ -174,7 +177,7 @@ def tables(spark, tmp_path):
 def test_odd_and_empty_tables(spark, tables, name):
     odd = queries.QUERIES[name](spark, tables(False))
     assert odd.columns == CONTRACT[name]
-    expected = {"op5_neighbours": 10, "op7_chat": 3}.get(name, 72)
+    expected = {"op5_neighbours": 10, "op7_chat": 3, "op11_hardneg": 0}.get(name, 72)
     assert len(odd.collect()) == expected
     assert queries.QUERIES[name](spark, tables(True)).count() == (1 if name == "op7_chat" else 0)
 
@@ -209,6 +212,10 @@ def test_pipeline_decisions(spark):
     left = {d for d, (n, hit, _) in decontaminate.brute_force(one, items).items() if not (hit and 20 * hit >= n)}
     third = clean(spark, kept.join(spark.createDataFrame([(d,) for d, _ in one], "doc_id long"), "doc_id").select(*docs.columns), SF)
     assert {r["doc_id"] for r in third.collect()} == left
+    texts, was = {r["doc_id"]: r["text"] for r in third.collect()}, dict(one)
+    from tests.llm.test_text_operators import cut_plainly
+
+    assert texts == {d: cut_plainly(was[d], [t for _, t in items], corpus_pipeline.SPAN) for d in left}
     after = redact(spark, third, SF)
     assert {r["doc_id"] for r in after.collect()} == left
     for r in after.collect():

@@ -77,6 +77,51 @@ def test_spans_are_cut_out_of_the_text(spark):
     assert got == {1: "before, . After", 2: "clean", 3: ""}
 
 
+def cut_plainly(text, items, least):
+    """The text without its runs of ``least`` or more hit words, window by window."""
+    import re
+
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    lower = str.maketrans({c: c + 32 for c in range(65, 91)})
+    spans = [m.span() for m in word.finditer((text or "").translate(lower))]
+    words = [(text or "").translate(lower)[a:b] for a, b in spans]
+    hit = set()
+    for item in items:
+        ws = word.findall((item or "").translate(lower))
+        n = min(13, len(ws))
+        grams = {tuple(ws[k:k + n]) for k in range(len(ws) - n + 1)} if n else set()
+        hit |= {p for k in range(len(words) - n + 1) if tuple(words[k:k + n]) in grams for p in range(k, k + n)}
+    out, pos, k = "", 0, 0
+    while k < len(words):
+        run = k
+        while run in hit:
+            run += 1
+        if run - k >= least:
+            out, pos = out + (text or "")[pos:spans[k][0]], spans[run - 1][1]
+        k = max(run, k + 1)
+    return out + (text or "")[pos:]
+
+
+@pytest.mark.parametrize("block_words, least", [(1_000_000, 1), (1_000_000, 13), (60, 13)])
+def test_cut_texts_equal_plain_cutting(spark, block_words, least):
+    vocabulary = ["red", "Ünder", "b2", "x", "größe", "漢字"]
+    items = [" ".join(R.choices(vocabulary, k=n)) for n in (40, 13, 14, 3, 5, 90)] + [None, ""]
+    rows = []
+    for i in range(120):
+        parts = [" ".join(R.choices([*vocabulary, "other", "words"], k=R.randint(0, 30)))]
+        for _ in range(R.randint(0, 3)):
+            ws = (R.choice(items) or "").split()
+            lo = R.randint(0, max(0, len(ws) - 10))
+            parts += [R.choice([", ", "\n", " - "]).join(ws[lo:lo + R.randint(1, 40)]).upper(), "end. "]
+        rows.append((i, "; ".join(parts)))
+    rows += [(900, None), (901, ""), (902, items[0])]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    hits = decontaminate.find_hits(frame(spark, rows), bench, block_words=block_words)
+    got = {r["doc_id"]: r["cleaned"] for r in decontaminate.remove_spans(hits, least).collect()}
+    assert got == {d: cut_plainly(t, items, least) for d, t in rows}
+    assert got[902] == "" and any(got[d] != (t or "") for d, t in rows)
+
+
 # --- SimHash ----------------------------------------------------------------------
 
 def test_near_duplicates_match_brute_force(spark):
@@ -169,6 +214,36 @@ def test_bpe_encodes_very_long_words_and_decodes_later(spark, tokenizer):
     assert bpe.encode(frame(spark, []), path).count() == 0
 
 
+def test_every_code_point_has_the_class_that_the_library_gives_it(tokenizer):
+    import regex
+
+    library = tokenizer[1].pre_tokenizer
+    want = bpe.classes_known(lambda t: [t[a:b] for _, (a, b) in library.pre_tokenize_str(t)])
+    differ = bpe.stand_ins(library)
+    have = bpe.classes_known(regex.compile(bpe.WORD_PATTERN).findall)
+    assert all((have[ord(differ[c])] if c in differ else have[c]) == w for c, w in enumerate(want))
+    latin = bpe.classes_known(regex.compile(bpe.WORD_PATTERN).findall)[:0x250]
+    assert latin == want[:0x250] and not any(c < 0x250 for c in differ)
+
+
+def test_every_code_point_of_two_planes_and_every_other_class_is_encoded_as_by_the_library(tokenizer):
+    encoder = bpe.Encoder(bpe.compile_automaton(tokenizer[0]))
+    points = sorted({*range(0x20000), *encoder.automaton.differ, *range(0x20000, 0x110000, 97)} - set(range(0xD800, 0xE000)))
+    for lo in range(0, len(points), 500):
+        texts = ["\n".join(f.replace("{}", chr(c)) for c in points[lo:lo + 500]) for f in ("a{}1", "x {} x", "!{}'s{}")]
+        for text, want in zip(texts, tokenizer[1].encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want.ids
+
+
+def test_remembered_words_are_bounded_by_bytes(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 3000)
+    encoder = bpe.Encoder(bpe.compile_automaton(tokenizer[0]))
+    for k in range(200):
+        text = f"word{k} another{k}"
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer[1].encode(text, add_special_tokens=False).ids
+    assert len(encoder) < 30
+
+
 def test_a_small_automaton_follows_the_merges():
     symbols = {s: i for i, s in enumerate(bpe.byte_symbols())}
     vocabulary = symbols | {"aa": 300, "ab": 301, "aab": 302, "aaa": 303}
@@ -323,6 +398,43 @@ def test_language_model_separates_and_handles_edges(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, nothing).collect()} == {"und"}
 
 
+SCRIPTS = {  # code points of letters; three scripts have two languages, which differ by their words
+    "latin": range(0x61, 0x7B), "greek": range(0x3B1, 0x3C2), "cyrillic": range(0x430, 0x450), "armenian": range(0x561, 0x587),
+    "georgian": range(0x10D0, 0x10F1), "hebrew": range(0x5D0, 0x5EB), "arabic": range(0x627, 0x64B), "hangul": range(0xAC00, 0xAC80),
+    "han": range(0x4E00, 0x4F00), "deseret": range(0x10428, 0x10450)}
+
+
+def test_every_script_is_told_apart(spark):
+    rng, words = random.Random(2), {}
+    for name, points in SCRIPTS.items():
+        for k in range(2 if name in ("latin", "cyrillic", "arabic") else 1):
+            words[f"{name}{k}"] = ["".join(chr(rng.choice(points)) for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(8, 40))), lang) for i, lang in enumerate(sorted(words) * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.col("doc_id") % 3 == 1, per_language=60, landmarks=24)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model, keep=["doc_id"]).collect()}
+    for lang in words:
+        right = [got[i] == lang for i, _, of in rows if of == lang and i % 3 == 1]
+        assert len(right) >= 15 and np.mean(right) >= 0.95, lang
+
+
+def test_flags_and_sorting_find_the_same_ngrams(monkeypatch):
+    texts = ["one two", "größe Ünder 12", "ΑΒΓ abc", "İ i̇ \U00010428x", "a", "", "--", "漢字 kanji かな", "x" * 50 + "漢" + "y" * 50]
+    for piece in (langid.PIECE, 7):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        few, many = langid.Grams(["abcxyz größe"]), langid.Grams(texts)
+        for t in texts:
+            low = t.lower()
+            want = {g for n in (1, 2, 3) for g in (low[k:k + n] for k in range(len(low) - n + 1)) if any(map(str.isalpha, g))}
+            keys = set()
+            for g in want:
+                key = 0
+                for c in g:
+                    key = key << 21 | (ord(c) + 2 if c.isalpha() else 1)
+                keys.add(key)
+            assert few.present(t).tolist() == many.present(t).tolist() == sorted(keys)
+
+
 def test_folded_weights_equal_the_kernel():
     sample = [(prose(12, w), lang) for lang, w in (("x", ["abc", "bcd"]), ("y", ["éfg", "fgh"])) for _ in range(8)]
     model = langid.LanguageModel(sample, landmarks=4)
@@ -334,7 +446,7 @@ def test_folded_weights_equal_the_kernel():
     phi = kernel @ root
     y = np.array([[1.0 if c == lang else -1.0 for c in ("x", "y")] for _, lang in sample])
     scores = phi @ np.linalg.solve(phi.T @ phi + 1e-3 * len(sample) * np.eye(8), phi.T @ y)
-    got = np.array([model.weights[sorted(s)].sum(0) / np.sqrt(len(s)) for s in sets])
+    got = np.array([model.weights[model.rows(np.array(sorted(s)))].sum(0) / np.sqrt(len(s)) for s in sets])
     assert np.allclose(got, scores, atol=1e-3)
 
 
