@@ -3,8 +3,8 @@
 Each stage reads what its predecessor wrote. Documents that the quality model
 rejects, all but one of each group of near-duplicates (the smallest ``doc_id``;
 rows without an id are told apart by their text), and documents contaminated
-with benchmark items go; secrets are replaced in the text; the last stage
-encodes what is left.
+with benchmark items go; documents below that limit lose their spans of ``SPAN`` or
+more benchmark words; secrets are replaced in the text; the last stage encodes what is left.
 
 Null and empty texts pass through every stage as empty texts and are judged like
 others; repeated rows are exact copies, of which one stays; extra columns are
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings_lake.llm import bpe, decontaminate, quality, secrets, simhash
@@ -23,6 +23,7 @@ from postings_lake.llm.queries import table, tokenizer_path
 
 QUALITY_LIMIT = 0.7
 SHINGLE, MAX_BITS = 3, 3
+SPAN = 13
 MARK = "[SECRET]"
 
 
@@ -39,11 +40,22 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.one_of_each(docs, SHINGLE, MAX_BITS)
 
 
+def with_text(found: DataFrame, changed: Column, text: Column, docs: DataFrame) -> DataFrame:
+    """Rows set aside, with ``text`` where it ``changed``; ``n_chars`` follows."""
+    found = found.withColumn("text", F.when(changed, text).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("__n_chars", F.when(changed, length).otherwise(F.col("__n_chars")))
+    return found
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose share of benchmark words stays below the limit."""
+    """Documents whose share of benchmark words stays below the limit, without their
+    spans of ``SPAN`` or more such words."""
     packed, unpack = aside(docs)
-    hits = decontaminate.find_hits(packed, table(spark, sf_dir, "benchmark"))
-    return unpack(decontaminate.judge(hits).filter(~F.col("contaminated")))
+    hits = decontaminate.judge(decontaminate.find_hits(packed, table(spark, sf_dir, "benchmark"))).filter(~F.col("contaminated"))
+    cut = decontaminate.remove_spans(hits, SPAN)
+    return unpack(with_text(cut, F.col("n_hit") > 0, F.col("cleaned"), docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +63,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ratios = secrets.fit(docs)
     packed, unpack = aside(docs)
     found = secrets.scan(packed, ratios)
-    changed = F.size("spans") > 0
-    found = found.withColumn("text", F.when(changed, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        found = found.withColumn("__n_chars", F.when(changed, length).otherwise(F.col("__n_chars")))
-    return unpack(found)
+    return unpack(with_text(found, F.size("spans") > 0, secrets.redacted(F.col("text"), F.col("spans")), docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
