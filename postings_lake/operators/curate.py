@@ -4,12 +4,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from postings_lake.functions import dates, lexicon, text
-from postings_lake.operators.newest import newest_per_key
+from postings_lake.operators.newest import newest_per_key, row_digest
 
 # FIXED VALUES: bronze column contract (name and type, in order) and the
 # source name assumed when a row carries none.
@@ -43,6 +43,10 @@ SILVER_COLUMNS: tuple[str, ...] = (
     "salary_min", "salary_max", "redirect_url", "ingested_at",
 )
 
+# A bronze row's digest, where a table stores it beside the contract's columns. It
+# orders rows that share key and time, before and after curation alike.
+DIGEST = "row_digest"
+
 
 @dataclass(frozen=True)
 class CurateSpec:
@@ -85,17 +89,64 @@ def keyed(bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
     )
 
 
+def with_digest(bronze: DataFrame) -> DataFrame:
+    """Bronze contract rows with their :data:`DIGEST`."""
+    return bronze.withColumn(DIGEST, row_digest([f for f in BRONZE_SCHEMA.fields if f.name in bronze.columns]))
+
+
+def _stored_digest(df: DataFrame) -> str | None:
+    return DIGEST if DIGEST in df.columns else None
+
+
 def dedupe(bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
     """Newest ingested copy of every posting (null ids dropped)."""
-    return newest_per_key(keyed(bronze, spec), spec.key, "ingested_at", order=spec.order)
+    return newest_per_key(keyed(bronze, spec), spec.key, "ingested_at", order=spec.order, digest=_stored_digest(bronze))
 
 
 def merge(silver: DataFrame, bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
     """``silver`` brought up to date with new bronze rows only: the newest of the
     stored rows and the curated new ones. The same result as curating the whole
-    history, unless an old and a new copy of a key share ``ingested_at``."""
-    both = silver.select(*SILVER_COLUMNS).unionByName(curate(bronze, spec))
-    return newest_per_key(both, spec.key, "ingested_at", order=spec.order)
+    history if both hold a :data:`DIGEST`; else unless an old and a new copy of a key
+    share ``ingested_at``."""
+    digest = _stored_digest(silver) if DIGEST in bronze.columns else None
+    columns = [*SILVER_COLUMNS, *([digest] if digest else [])]
+    both = silver.select(*columns).unionByName(curate(bronze, spec).select(*columns))
+    return newest_per_key(both, spec.key, "ingested_at", order=spec.order, digest=digest)
+
+
+def wins(spec: CurateSpec, new: str, old: str) -> Column:
+    """Whether row ``new`` takes the place of row ``old`` of its key (both aliases of
+    curated rows with digests), as :func:`newest_per_key` orders them."""
+    def order(alias: str) -> Column:
+        at = F.col(f"{alias}.ingested_at")
+        newest = [F.try_to_timestamp(at), at] if spec.order == "timestamp" else [at]
+        # Nulls come last: a value beats none.
+        return F.struct(*[c for v in newest for c in (v.isNotNull(), v)])
+    n, o = order(new), order(old)
+    return (n > o) | ((n == o) & (F.col(f"{new}.{DIGEST}") < F.col(f"{old}.{DIGEST}")))
+
+
+def changes(silver: DataFrame, fresh: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
+    """What a merge of the curated rows ``fresh`` changes in ``silver``, both with
+    digests and one row a key: the rows that enter with ``weight`` 1 and the stored
+    rows that they replace with ``weight`` -1.
+
+    The stored rows are cut to the fresh keys by a semi-join (broadcast where the
+    planner finds the keys small enough, else shuffled by key) before whole rows meet.
+    """
+    columns, keys = [*SILVER_COLUMNS, DIGEST], list(spec.key)
+    fresh = fresh.select(*columns)
+    touched = silver.select(*columns).join(fresh.select(*keys), keys, "left_semi")
+    n, o = fresh.alias("n"), touched.alias("o")
+    met = n.join(o, [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys], "left")
+    found = F.col(f"o.{keys[0]}").isNotNull()
+    replaced = F.coalesce(found & wins(spec, "n", "o"), F.lit(False))
+
+    def signed(alias: str, weight: int) -> Column:
+        return F.struct(*[F.col(f"{alias}.{c}").alias(c) for c in columns], F.lit(weight).alias("weight"))
+
+    enters = F.array(F.when(~found | replaced, signed("n", 1)), F.when(replaced, signed("o", -1)))
+    return met.select(F.explode(F.filter(enters, lambda r: r.isNotNull())).alias("r")).select("r.*")
 
 
 def normalized(df: DataFrame) -> DataFrame:
@@ -130,7 +181,8 @@ def curate(bronze: DataFrame, spec: CurateSpec = CurateSpec()) -> DataFrame:
     """Bronze history -> curated table: newest copy per key, normalised,
     enriched, projected to :data:`SILVER_COLUMNS`.
 
-    One shuffle (the dedupe); everything else is per-row expressions fused
-    into the same codegen stage.
+    A stored :data:`DIGEST` stays, as the last column. One shuffle (the dedupe);
+    everything else is per-row expressions fused into the same codegen stage.
     """
-    return enrich(normalized(dedupe(bronze, spec)), spec).select(*SILVER_COLUMNS)
+    columns = [*SILVER_COLUMNS, *([DIGEST] if DIGEST in bronze.columns else [])]
+    return enrich(normalized(dedupe(bronze, spec)), spec).select(*columns)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings_lake.functions import text
+from postings_lake.operators.marts import MartSpec
 
 # FIXED VALUES: explorer constants.
 ALL_LEVELS = "All levels"
@@ -116,39 +117,70 @@ def search_condition(spec: SearchSpec, start: Column, end: Column) -> Column:
     return out
 
 
-def resolve_range(curated: DataFrame, posted) -> tuple[Column, Column]:
+def resolve_range(curated: DataFrame, posted, bounds: DataFrame | None = None) -> tuple[Column, Column]:
     """The inclusive date range of a spec. ``None`` is the default range, as a
     one-row subquery of the plan itself: nothing runs before the search does.
-    It reads ``curated`` once more, so search stored silver."""
+    It reads ``bounds`` (the row of :func:`date_bounds`, of published statistics)
+    or, without them, ``curated`` once more."""
     if posted is None:
-        bounds = date_bounds(curated).select(F.struct("default_start", "default_end").alias("bounds")).scalar()
+        bounds = (date_bounds(curated) if bounds is None else bounds).select(F.struct("default_start", "default_end").alias("bounds")).scalar()
         return bounds.getField("default_start"), bounds.getField("default_end")
     if isinstance(posted, (tuple, list)) and len(posted) == 2:
         return F.lit(posted[0]), F.lit(posted[1])
     return F.lit(posted), F.lit(posted)
 
 
-def apply_search(curated: DataFrame, spec: SearchSpec) -> DataFrame:
-    start, end = resolve_range(curated, spec.posted)
+def apply_search(curated: DataFrame, spec: SearchSpec, bounds: DataFrame | None = None) -> DataFrame:
+    start, end = resolve_range(curated, spec.posted, bounds)
     return curated.where(search_condition(spec, start, end))
 
 
-def _distinct_with_null(c: str) -> Column:
-    """Distinct values of ``c`` with null counted as one value."""
-    return F.count_distinct(F.struct(F.col(c)))
-
-
 def headline_metrics(df: DataFrame) -> DataFrame:
     """One row ``(jobs, companies, countries, seniorities)``; the distinct
-    counts include null as a value."""
-    return df.agg(
-        F.count(F.lit(1)).alias("jobs"),
-        _distinct_with_null("company").alias("companies"),
-        _distinct_with_null("country_code").alias("countries"),
-        _distinct_with_null("seniority").alias("seniorities"),
+    counts include null as a value.
+
+    Rows are counted for each combination of the three values first (map-side), and
+    the combinations' values then: no row of the input is multiplied.
+    """
+    names = ("company", "country_code", "seniority")
+    combos = df.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    each = F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).cast("string").alias("value"), F.col("n").alias("n")) for i, c in enumerate(names)])
+    values = combos.select(F.inline_outer(each)).groupBy("which", "value").agg(F.sum("n").alias("n"))
+    return values.agg(
+        F.coalesce(F.sum(F.when(F.col("which") == 0, F.col("n"))), F.lit(0)).alias("jobs"),
+        *[F.count_if(F.col("which") == i).alias(name) for i, name in enumerate(("companies", "countries", "seniorities"))],
     )
 
 
+# Statistics that are published with the marts, as a mart of its own: the values that
+# the explorer offers and counts. They grow with the values, not the postings, and
+# follow a merge by signed counts like any mart.
+SEARCH_STATS = MartSpec("search_stats", FACETS, "jobs", order="key")
+
+
+def published_facets(search_stats: DataFrame, names: Sequence[str] = FACETS) -> DataFrame:
+    """:func:`facets` of the whole table, from its statistics."""
+    return facets(search_stats, names)
+
+
+def published_bounds(jobs_by_day: DataFrame, today: dt.date | None = None) -> DataFrame:
+    """:func:`date_bounds` of the whole table, from its postings by day."""
+    return date_bounds(jobs_by_day, today)
+
+
+def published_metrics(search_stats: DataFrame, top_companies: DataFrame) -> DataFrame:
+    """:func:`headline_metrics` of the whole table, from its statistics. Postings
+    without company are those that the mart of companies does not count."""
+    jobs = search_stats.agg(
+        F.coalesce(F.sum("jobs"), F.lit(0)).alias("jobs"),
+        F.size(F.collect_set(F.struct("country_code"))).cast("long").alias("countries"),
+        F.size(F.collect_set(F.struct("seniority"))).cast("long").alias("seniorities"))
+    named = top_companies.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("openings"), F.lit(0)).alias("openings"))
+    row = named.select(F.struct("n", "openings").alias("c")).scalar()
+    return jobs.select("jobs", (row.getField("n") + (F.col("jobs") > row.getField("openings")).cast("long")).alias("companies"),
+                       "countries", "seniorities")
+
+
 def listing(df: DataFrame, rows: int = DEFAULT_ROWS) -> DataFrame:
     """Top ``rows`` postings: newest date first (no date last), then country,
     company; source and id make the order total. Planned as

@@ -112,7 +112,24 @@ def _tagged_union_schema(specs: Sequence[MartSpec], curated: DataFrame) -> list[
 
 
 def build_marts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> dict[str, DataFrame]:
-    """Several marts from one pass over ``curated``.
+    """Several marts from one pass over ``curated`` (see :func:`tagged_counts`).
+
+    The shared aggregate is small (one row per mart row); each mart is a filter of
+    it. Callers that write several marts should persist ``result["__all__"]``.
+    """
+    agg = tagged_counts(curated, specs)
+    return {"__all__": agg, **{s.name: mart_of(agg, specs, s) for s in specs}}
+
+
+def mart_of(counts: DataFrame, specs: Sequence[MartSpec], spec: MartSpec) -> DataFrame:
+    """One finished mart of the tagged counts of ``specs``."""
+    mine = counts.where(F.col("__mart") == list(specs).index(spec))
+    return order_mart(mine.select(*spec.keys, F.col("__n").alias(spec.measure)), spec)
+
+
+def tagged_counts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS, weight: str | None = None) -> DataFrame:
+    """``__mart`` (position in ``specs``), every key column, and the count ``__n`` of
+    all marts; with ``weight``, the sum of that column of the rows instead.
 
     Every curated row emits one tagged record per mart row it feeds: for an
     unnesting spec an ``arrays_zip`` of the array with its row's other keys
@@ -120,9 +137,7 @@ def build_marts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> dict[s
     concatenated and unnested once. A single ``groupBy(tag, keys...)`` with a
     map-side partial count then produces all marts at once, so silver is
     scanned once and shuffled once. All of it is built from expressions with
-    generated code (no higher-order functions). The shared aggregate is small
-    (one row per mart row); each mart is a filter of it. Callers that write
-    several marts should persist ``result["__all__"]``.
+    generated code (no higher-order functions).
     """
     cols = _tagged_union_schema(specs, curated)
     names = [c for c, _ in cols]
@@ -162,24 +177,37 @@ def build_marts(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> dict[s
         pieces.append(F.coalesce(F.when(cond, recs), F.array().cast(record_type)))
     # inline_outer for the reason given in _rows; its all-null padding rows
     # carry no mart tag and are dropped.
-    tagged = curated.select(F.inline_outer(F.concat(*pieces))).where(F.col("__mart").isNotNull())
+    by = [] if weight is None else [F.col(weight).alias("__weight")]
+    tagged = curated.select(*by, F.inline_outer(F.concat(*pieces))).where(F.col("__mart").isNotNull())
     if keep_record is not None:
         tagged = tagged.where(keep_record)
-    agg = tagged.groupBy("__mart", *names).agg(F.count(F.lit(1)).alias("__n"))
-    out: dict[str, DataFrame] = {"__all__": agg}
-    for i, s in enumerate(specs):
-        part = agg.where(F.col("__mart") == i).select(*s.keys, F.col("__n").alias(s.measure))
-        out[s.name] = order_mart(part, s)
-    return out
+    total = F.count(F.lit(1)) if weight is None else F.sum("__weight")
+    return tagged.groupBy("__mart", *names).agg(total.alias("__n"))
+
+
+def updated_counts(counts: DataFrame, signed: DataFrame, specs: Sequence[MartSpec] = MARTS, weight: str = "weight") -> DataFrame:
+    """Stored mart counts (the shape of :func:`tagged_counts`) brought up to date with
+    signed curated rows: a row that entered counts 1, one that left -1.
+
+    The work follows the signed rows and the marts, not the curated table. Mart rows
+    that nothing counts for any more go.
+    """
+    keys = [c for c in counts.columns if c != "__n"]
+    every = counts.unionByName(tagged_counts(signed, specs, weight).select(*keys, F.col("__n").cast("long").alias("__n")))
+    return every.groupBy(*keys).agg(F.sum("__n").alias("__n")).where(F.col("__n") != 0)
+
+
+def named_marts(counts: DataFrame, specs: Sequence[MartSpec] = MARTS) -> DataFrame:
+    """Tagged counts as one table: ``mart``, the key columns and the count ``n``."""
+    names = F.array(*[F.lit(s.name) for s in specs])
+    keys = [c for c in counts.columns if not c.startswith("__")]
+    return counts.select(F.get(names, F.col("__mart")).alias("mart"), *keys, F.col("__n").alias("n"))
 
 
 def gold_all(curated: DataFrame, specs: Sequence[MartSpec] = MARTS) -> DataFrame:
     """All marts in one table: ``mart``, every key column (null where a mart
     lacks it) and the count ``n``; one scan and one shuffle."""
-    keys = [c for c, _ in _tagged_union_schema(specs, curated)]
-    names = F.array(*[F.lit(s.name) for s in specs])
-    return build_marts(curated, specs)["__all__"].select(
-        F.get(names, F.col("__mart")).alias("mart"), *keys, F.col("__n").alias("n"))
+    return named_marts(tagged_counts(curated, specs), specs)
 
 
 def mart_previews(curated: DataFrame, rows: int, specs: Sequence[MartSpec] = MARTS) -> DataFrame:
@@ -205,5 +233,7 @@ def mart_previews(curated: DataFrame, rows: int, specs: Sequence[MartSpec] = MAR
     first_key = F.when(F.col("mart").isin([s.name for s in specs if s.order == "key_then_count"]), F.col("key_1"))
     order = [first_key.asc_nulls_first(), most_first.asc(), *[F.col(f"key_{i + 1}").asc_nulls_first() for i in range(width)]]
     top = named.withColumn("position", F.row_number().over(Window.partitionBy("mart").orderBy(*order))).where(F.col("position") <= rows)
-    sizes = named.groupBy("mart").agg(F.count(F.lit(1)).alias("mart_rows"))
+    # Reads ``n``, which is never 0, so that both branches need the same columns and
+    # share one aggregate (its exchange is reused).
+    sizes = named.groupBy("mart").agg(F.count_if(F.col("n") != 0).alias("mart_rows"))
     return top.join(sizes, "mart").select("mart", "position", *[f"key_{i + 1}" for i in range(width)], "n", "mart_rows")

@@ -142,6 +142,7 @@ from kept""",
     "silver": with_cur(f"select {_FLAT19} from cur"),
     "silver_incremental": with_cur(f"select {_FLAT19} from cur"),
     "gold_all": with_cur(_gold_sql()),
+    "gold_incremental": with_cur(_gold_sql()),
     "mart_previews": with_cur(_previews_sql()),
     "skills_by_country": with_cur(
         "select country_code, skill, count(*) as mentions from (select country_code, unnest(skills) as skill from cur) "
@@ -240,3 +241,14 @@ where skill is not null group by country_code, skill""",
     order by ts desc nulls last, event_id asc nulls first, value asc nulls first, props asc nulls first) as rn
   from events) where rn = 1""",
 })
+
+ORACLES.update({
+    "flow_silver": ORACLES["silver"],
+    "flow_gold": ORACLES["gold_all"],
+    "explore_published": ORACLES["explore_default_range"],
+    "metrics_published": with_cur("""select (select count(*) from cur) as jobs,
+  (select count(*) from (select distinct company from cur)) as companies,
+  (select count(*) from (select distinct country_code from cur)) as countries,
+  (select count(*) from (select distinct seniority from cur)) as seniorities"""),
+    "document_skills_joined": ORACLES["document_skills"],
+})

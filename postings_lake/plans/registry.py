@@ -8,6 +8,8 @@ results are returned joined with ``,`` so they compare with the oracles.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +17,12 @@ from pyspark.sql import functions as F
 
 from postings_lake.functions import dates, lexicon
 from postings_lake.operators import curate as cur_ops
-from postings_lake.operators import explore, gate, marts
+from postings_lake.operators import explore, gate, marts, tagging
 from postings_lake.operators.newest import newest_per_key
-from postings_lake.plans import fixtures
-from postings_lake.sources import landing
+from postings_lake.plans import fixtures, flow
+from postings_lake.plans.explorer import open_explorer
+from postings_lake.sources import landing, tables
+from postings_lake.sources.tables import Layout
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +112,57 @@ def q_silver_incremental(spark, sf_dir):
     return flat(cur_ops.merge(old, fixtures.postings(rows.where("l_linenumber % 2 = 1"))))
 
 
+def q_gold_incremental(spark, sf_dir):
+    """Marts of the older half of the postings, brought up to date with the rows that
+    the newer half brings and takes away."""
+    rows = fixtures.table(spark, sf_dir, "lineitem")
+    old, new = (cur_ops.curate(cur_ops.with_digest(fixtures.postings(rows.where(f"l_linenumber % 2 = {k}")))) for k in (0, 1))
+    signed = cur_ops.changes(old, new)
+    return marts.named_marts(marts.updated_counts(marts.tagged_counts(old), signed))
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder that the session names; a temporary one only where a local
+    session names none (driver and tasks are one process there)."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()) and spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="pl-lake-")
+    return flow.shared_checkpoint_dir(spark)
+
+
+def stored_lake(spark: SparkSession, sf_dir: str) -> Layout:
+    """A lake that took in the postings in two batches, each merged and published by a
+    run of its own."""
+    layout = Layout(f"{scratch_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}")
+    rows = fixtures.table(spark, sf_dir, "lineitem")
+    for k in (0, 1):
+        tables.append_bronze(fixtures.postings(rows.where(f"l_linenumber % 2 = {k}")), layout, f"batch-{k}")
+        flow.update(spark, layout, gate_key=("source_name", "source_id"))
+    return layout
+
+
+def q_flow_silver(spark, sf_dir):
+    return flat(tables.read_silver(spark, stored_lake(spark, sf_dir)))
+
+
+def q_flow_gold(spark, sf_dir):
+    layout, every = stored_lake(spark, sf_dir), None
+    keys = ("country_code", "skill", "cloud", "posted_date", "company")
+    for s in marts.MARTS:
+        mart = tables.read_mart(spark, layout, s.name)
+        typed = [F.col(k) if k in s.keys else F.lit(None).cast("date" if k == "posted_date" else "string").alias(k) for k in keys]
+        part = mart.select(F.lit(s.name).alias("mart"), *typed, F.col(s.measure).alias("n"))
+        every = part if every is None else every.unionByName(part)
+    return every
+
+
+def q_explore_published(spark, sf_dir):
+    return open_explorer(spark, stored_lake(spark, sf_dir)).search(explore.SearchSpec()).select(*_SEARCH_COLS)
+
+
+def q_metrics_published(spark, sf_dir):
+    return open_explorer(spark, stored_lake(spark, sf_dir)).metrics
+
+
 def q_gold_all(spark, sf_dir):
     return marts.gold_all(curated(spark, sf_dir))
 
@@ -201,6 +256,13 @@ def q_document_skills(spark, sf_dir):
     )
 
 
+def q_document_skills_joined(spark, sf_dir):
+    """The same names found by joining token n-grams to an alias table."""
+    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = tagging.with_tags(docs, ("doc_id",), F.col("text"), DOCUMENT_TAXONOMY)
+    return found.select("doc_id", "lang", F.array_join("skills", ",").alias("skills"))
+
+
 def q_document_skills_by_lang(spark, sf_dir):
     docs = documents_as_postings(fixtures.table(spark, sf_dir, "documents"))
     spec = cur_ops.CurateSpec(taxonomy=DOCUMENT_TAXONOMY)
@@ -212,6 +274,9 @@ def q_newest_events(spark, sf_dir):
     return newest_per_key(ev, ("event_type", "user_id"), "ts", order="timestamp")
 
 
+# Queries that store a lake before they read it; all others run nothing when built.
+STORED = ("flow_silver", "flow_gold", "explore_published", "metrics_published")
+
 QUERIES: dict[str, Query] = {
     # landing (S1-S3)
     "landed_postings": q_landed_postings,
@@ -231,6 +296,12 @@ QUERIES: dict[str, Query] = {
     # marts (A1-A5)
     **{m.name: _mart(m.name) for m in marts.MARTS},
     "gold_all": q_gold_all,
+    "gold_incremental": q_gold_incremental,
+    # the stored flow (S4-S9, C2-C5) in two runs, and the explorer over it
+    "flow_silver": q_flow_silver,
+    "flow_gold": q_flow_gold,
+    "explore_published": q_explore_published,
+    "metrics_published": q_metrics_published,
     "mart_previews": q_mart_previews,
     # gate (G1-G6, A7, F10)
     "quality_metrics": q_quality_metrics,
@@ -249,5 +320,6 @@ QUERIES: dict[str, Query] = {
     # the same operators on other tables
     "document_skills": q_document_skills,
     "document_skills_by_lang": q_document_skills_by_lang,
+    "document_skills_joined": q_document_skills_joined,
     "newest_events": q_newest_events,
 }

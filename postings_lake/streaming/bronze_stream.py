@@ -6,9 +6,9 @@ stream picks up only the files it has not seen (tracked in the checkpoint),
 and every micro-batch goes through the same batch operators as
 :func:`postings_lake.plans.flow.bronze_step`: cut-off, flatten, append.
 
-Delivery is at-least-once: if a micro-batch is retried after a failure its rows
-may be appended twice. Bronze is an audit history and silver keeps one row per
-key with a total order, so a replayed batch never changes silver.
+Each micro-batch is one bronze batch, named after the query (its id lives in the
+checkpoint) and the batch's number. A batch that is retried after a failure is found
+in the bronze log and appended once.
 
 The cut-off looks at one run at a time, within a micro-batch; a batch takes every
 file that has landed, so the files of one run should be moved in together.
@@ -40,6 +40,11 @@ def default_checkpoint(spark: SparkSession, landing_dir: str, layout: Layout) ->
     return f"{shared_checkpoint_dir(spark).rstrip('/')}/streams/{stream_id(landing_dir, layout)}"
 
 
+def query_id(batch: DataFrame) -> str:
+    """The running query's id: the same for all runs on one checkpoint, new with a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def start_bronze_stream(
     spark: SparkSession,
     landing_dir: str,
@@ -68,7 +73,7 @@ def start_bronze_stream(
         held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = landing.pages_to_bronze(held, max_pages=max_pages, source=source, mode=mode)
-            tables.append_bronze(rows, layout.bronze, fmt)
+            tables.append_bronze(rows, layout, f"{stream_id(landing_dir, layout)}/{query_id(batch)}/{batch_id}", fmt)
         finally:
             held.unpersist()
 

@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from postings_lake.operators import explore
 
 SCHEMA = ("source_name string, source_id string, title string, company string, country_code string, "
@@ -143,3 +145,42 @@ def test_wildcard_characters_are_literal(spark):
     assert hits(keyword="50%") == [("a", "1")]  # not a LIKE wildcard
     assert hits(keyword="0_ o") == []
     assert hits(role="1.2") == [("a", "3")]  # not a regex dot
+
+
+def test_published_statistics_equal_the_table(spark, workdir):
+    import json
+
+    from postings_lake.plans import flow
+    from postings_lake.plans.explorer import open_explorer
+    from postings_lake.sources.tables import Layout
+
+    def pages(ids, at, company):
+        body = {"results": [{"id": i, "title": ["Junior Engineer", "Lead", None][i % 3], "company": {"display_name": company} if i % 4 else None,
+                             "created": f"2026-0{1 + i % 3}-1{i % 9}T00:00:00Z", "location": {"area": ["DE", "BE", ["Berlin", " ", "Ulm"][i % 3]]}}
+                            for i in ids]}
+        return spark.createDataFrame([(["de", "nl"][len(ids) % 2], 1, json.dumps(body), at)], "country string, page bigint, body string, ingested_at string")
+
+    lay = Layout(workdir)
+    with pytest.raises(ValueError):
+        open_explorer(spark, lay)
+    for k, ids in enumerate([range(1, 20), range(15, 26)]):
+        flow.run(spark, pages(ids, f"2026-06-0{k + 1}T00:00:00Z", f"C{k}"), lay)
+        e = open_explorer(spark, lay)
+        for got, want in ((e.facets, explore.facets(e.silver)), (e.bounds, explore.date_bounds(e.silver)), (e.metrics, explore.headline_metrics(e.silver))):
+            assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+        spec = explore.SearchSpec(countries=("de",))
+        assert sorted(map(repr, e.search(spec).collect())) == sorted(map(repr, explore.apply_search(e.silver, spec).collect()))
+    # A default-range search reads silver once: the range comes from the statistics.
+    plan = e.search(explore.SearchSpec())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/silver/jobs") == 1 and "/gold/jobs_by_day" in plan
+    flow.silver_step(spark, lay)  # silver alone: the marts are of before
+    assert open_explorer(spark, lay).metrics.collect() == e.metrics.collect()
+    assert e.metrics.first()["jobs"] == 25 and isinstance(e.bounds.first()["min_date"], dt.date)
+
+
+def test_metrics_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([("a", "de", None), (None, "de", "junior"), ("a", None, "junior"), ("a", "de", None)], "company string, country_code string, seniority string")
+    m = explore.headline_metrics(df)
+    assert "Expand" not in m._jdf.queryExecution().executedPlan().toString()
+    assert tuple(m.first()) == (4, 2, 2, 2)
+    assert tuple(explore.headline_metrics(df.where("false")).first()) == (0, 0, 0, 0)

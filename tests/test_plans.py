@@ -98,10 +98,12 @@ def test_gold_all_is_one_scan_and_one_shuffle(spark, stored_silver):
 
 
 def test_building_a_query_runs_no_job(spark):
-    from postings_lake.plans.registry import QUERIES
+    from postings_lake.plans.registry import QUERIES, STORED
 
     tracker = spark.sparkContext.statusTracker()
     for key, query in QUERIES.items():
+        if key in STORED:  # they write and publish a lake first
+            continue
         spark.sparkContext.setJobGroup(f"build-{key}", key)
         query(spark, SF)
         # Reading a parquet footer for its schema is the only job allowed.
