@@ -42,9 +42,9 @@ from postings_lake.llm.common import Shared, map_texts
 
 # Fixed value: the pattern that the public byte-level tokenizer splits words by.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_BYTES = 96 << 20  # words and ids that a task remembers, about; then it starts anew
+CACHE_BYTES = 72 << 20  # words and ids that a task remembers, about; then it starts anew
 ENTRY_BYTES = 150  # what a remembered word takes beside its characters and ids
-TABLED_ARCS = 500_000
+TABLED_ARCS = 300_000
 LONG_TEXT = 1 << 20
 DECODED_IDS = 1 << 18
 

@@ -159,7 +159,7 @@ def stretches(automaton: ItemAutomaton, hashes: np.ndarray, codes: np.ndarray, h
     return out[out[:, 1] - out[:, 0] >= automaton.shortest]
 
 
-def _matcher(shared):
+def _matcher(shared, cut=None):
     automaton = shared.value
     finder = Words(alnum_words())
     raw = b" ".join(automaton.vocabulary)
@@ -182,23 +182,28 @@ def _matcher(shared):
                 hits[d], items[d] = set(hits[d]), set(items[d]) | found
                 for k, n in enumerate(lengths):
                     hits[d].update(range(lo + k + 1 - n - int(first[d]), lo + k + 1 - int(first[d])))
-        return [np.diff(first), [sorted(x) for x in hits], [sorted(x, key=lambda v: v.encode()) for x in items]]
+        hits = [sorted(x) for x in hits]
+        out = [np.diff(first), hits, [sorted(x, key=lambda v: v.encode()) for x in items]]
+        if cut:
+            out.append([without_spans(data, int(at[d]), int(at[d + 1]), s[first[d]:], e[first[d]:], hit, cut) for d, hit in enumerate(hits)])
+        return out
 
     return run
 
 
-def _with_hits(shared):
-    return _matcher(shared)
+def _with_hits(shared, cut=None):
+    return _matcher(shared, cut)
 
 
 _with_hits.reads = ("hit_words", "items")
 
 
 def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 13,
-              keep: list[str] | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
+              keep: list[str] | None = None, block_words: int = BLOCK_WORDS, cut: int | None = None) -> DataFrame:
     """``keep`` columns (default: all) plus ``n_words`` (long), ``hit_words``
     (positions of hit words, ascending) and ``items`` (ids of items with an
-    occurring window, sorted as strings)."""
+    occurring window, sorted as strings). With ``cut`` also ``cleaned``, as
+    ``remove_spans`` makes it of spans of ``cut`` or more words, in the same pass."""
     spark = documents.sparkSession
     keep = documents.columns if keep is None else keep
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
@@ -212,8 +217,9 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 13,
         automaton = ItemAutomaton(sorted((r["item"], words_of(r["body"])) for r in rows), window)
         if b:
             out = stored(out, "hits")
-        out = map_texts(out, keep + ["text"], "n_words long, hit_words array<int>, items array<string>",
-                        _with_hits if b else _matcher, (Shared(spark, automaton),))
+        last = cut if b == n_blocks - 1 else None
+        fields = "n_words long, hit_words array<int>, items array<string>" + (", cleaned string" if last else "")
+        out = map_texts(out, keep + ["text"], fields, _with_hits if b else _matcher, (Shared(spark, automaton), last))
     return out if "text" in keep else out.drop("text")
 
 
@@ -223,6 +229,17 @@ def judge(hits: DataFrame, coverage: int = 20) -> DataFrame:
     return hits.withColumns({"n_hit": n_hit, "contaminated": (n_hit > 0) & (F.lit(coverage) * n_hit >= F.col("n_words"))})
 
 
+def without_spans(data: np.ndarray, lo: int, hi: int, s: np.ndarray, e: np.ndarray, hit: list[int], least: int) -> str:
+    """The text at ``lo:hi``, whose words start and end at ``s`` and ``e``, without its
+    runs of ``least`` or more ``hit`` words (positions, ascending)."""
+    pieces, pos = [], lo
+    for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1) if hit else ():
+        if len(run) >= least:
+            pieces.append(data[pos:s[run[0]]].tobytes())
+            pos = int(e[run[-1]])
+    return (b"".join(pieces) + data[pos:hi].tobytes()).decode("utf-8", "replace")
+
+
 def _cutter(least):
     finder = Words(alnum_words())
 
@@ -230,15 +247,8 @@ def _cutter(least):
         data, at = strings(batch.column("text"))
         out = []
         for d, hit in enumerate(batch.column("hit_words").to_pylist()):
-            lo, hi = int(at[d]), int(at[d + 1])
-            pieces, pos = [], lo
-            if hit:
-                s, e, _ = finder.all(data, at[d:d + 2])
-                for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
-                    if len(run) >= least:
-                        pieces.append(data[pos:s[run[0]]].tobytes())
-                        pos = int(e[run[-1]])
-            out.append((b"".join(pieces) + data[pos:hi].tobytes()).decode("utf-8", "replace"))
+            s, e, _ = finder.all(data, at[d:d + 2]) if hit else (None, None, None)
+            out.append(without_spans(data, int(at[d]), int(at[d + 1]), s, e, hit, least))
         return [out]
 
     return run

@@ -119,6 +119,8 @@ def test_cut_texts_equal_plain_cutting(spark, block_words, least):
     hits = decontaminate.find_hits(frame(spark, rows), bench, block_words=block_words)
     got = {r["doc_id"]: r["cleaned"] for r in decontaminate.remove_spans(hits, least).collect()}
     assert got == {d: cut_plainly(t, items, least) for d, t in rows}
+    at_once = decontaminate.find_hits(frame(spark, rows), bench, block_words=block_words, cut=least)
+    assert {r["doc_id"]: r["cleaned"] for r in at_once.collect()} == got
     assert got[902] == "" and any(got[d] != (t or "") for d, t in rows)
 
 
