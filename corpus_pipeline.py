@@ -53,9 +53,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose share of benchmark words stays below the limit, without their
     spans of ``SPAN`` or more such words."""
     packed, unpack = aside(docs)
-    hits = decontaminate.judge(decontaminate.find_hits(packed, table(spark, sf_dir, "benchmark"))).filter(~F.col("contaminated"))
-    cut = decontaminate.remove_spans(hits, SPAN)
-    return unpack(with_text(cut, F.col("n_hit") > 0, F.col("cleaned"), docs))
+    hits = decontaminate.find_hits(packed, table(spark, sf_dir, "benchmark"), cut=SPAN)
+    kept = decontaminate.judge(hits).filter(~F.col("contaminated"))
+    return unpack(with_text(kept, F.col("n_hit") > 0, F.col("cleaned"), docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
