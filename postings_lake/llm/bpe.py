@@ -61,23 +61,25 @@ STAND_INS = {"L": "\u00e9", "N": "\u00b2", "S": "\u2003", "O": "\u00a7"}  # one
 def classes_known(found) -> str:
     """The class of every code point (``L``, ``N``, ``S`` or ``O``; surrogates ``O``), where
     ``found(text)`` gives the pieces of a text that the pattern finds."""
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c not in (0x20, 0x27)]
-    out, at = ["O"] * 0x110000, 0
-    for piece in found("".join(map(chr, points))):  # a piece has code points of one class
-        c = piece[0]
-        if found(f"a{c}1") == [f"a{c}", "1"]:
-            kind = "L"
-        elif found(f"a{c}1") == ["a", f"{c}1"]:
-            kind = "N"
-        else:
-            kind = "O" if found(f"!{c}!") == [f"!{c}!"] else "S"
-        for k in range(at, at + len(piece)):
-            out[points[k]] = kind
-        at += len(piece)
-    if at != len(points):
-        raise ValueError("the pattern does not cover every text")
-    out[0x20] = "S"
-    return "".join(out)
+    out = bytearray(b"O" * 0x110000)
+    for lo in range(0, 0x110000, 1 << 14):  # some at a time: the driver's memory is small
+        points = [c for c in range(lo, lo + (1 << 14)) if not 0xD800 <= c < 0xE000 and c not in (0x20, 0x27)]
+        at = 0
+        for piece in found("".join(map(chr, points))):  # a piece has code points of one class
+            c = piece[0]
+            if found(f"a{c}1") == [f"a{c}", "1"]:
+                kind = "L"
+            elif found(f"a{c}1") == ["a", f"{c}1"]:
+                kind = "N"
+            else:
+                kind = "O" if found(f"!{c}!") == [f"!{c}!"] else "S"
+            for k in range(at, at + len(piece)):
+                out[points[k]] = ord(kind)
+            at += len(piece)
+        if at != len(points):
+            raise ValueError("the pattern does not cover every text")
+    out[0x20] = ord("S")
+    return out.decode()
 
 
 def stand_ins(pre_tokenizer) -> dict[int, str]:
