@@ -58,9 +58,17 @@ def spellings(alias: str) -> list[str]:
 
 
 def alias_table(spark: SparkSession, taxonomy: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``name, alias`` of a taxonomy."""
+    """``name, alias`` of a taxonomy.
+
+    Handed over as Arrow it is a relation of known size, so the planner can broadcast it
+    to the n-grams; rows of Python objects have none, and every n-gram of
+    every text would be shuffled to meet them.
+    """
+    import pyarrow as pa
+
     rows = [(name, s) for name, aliases in taxonomy.items() for a in aliases for s in spellings(a)]
-    return spark.createDataFrame(rows, "name string, alias string")
+    names, texts = zip(*rows)
+    return spark.createDataFrame(pa.table({"name": pa.array(names, pa.string()), "alias": pa.array(texts, pa.string())}))
 
 
 def _tokens(text: Column) -> Column:
