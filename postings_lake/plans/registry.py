@@ -107,7 +107,7 @@ def q_flatten_posting(spark, sf_dir):
 
 
 def q_silver_incremental(spark, sf_dir):
-    rows = fixtures.table(spark, sf_dir, "lineitem")
+    rows = fixtures.spread(spark, sf_dir, "lineitem")
     old = cur_ops.curate(fixtures.postings(rows.where("l_linenumber % 2 = 0")))
     return flat(cur_ops.merge(old, fixtures.postings(rows.where("l_linenumber % 2 = 1"))))
 
@@ -115,7 +115,7 @@ def q_silver_incremental(spark, sf_dir):
 def q_gold_incremental(spark, sf_dir):
     """Marts of the older half of the postings, brought up to date with the rows that
     the newer half brings and takes away."""
-    rows = fixtures.table(spark, sf_dir, "lineitem")
+    rows = fixtures.spread(spark, sf_dir, "lineitem")
     old, new = (cur_ops.curate(cur_ops.with_digest(fixtures.postings(rows.where(f"l_linenumber % 2 = {k}")))) for k in (0, 1))
     signed = cur_ops.changes(old, new)
     return marts.named_marts(marts.updated_counts(marts.tagged_counts(old), signed))
@@ -133,7 +133,7 @@ def stored_lake(spark: SparkSession, sf_dir: str) -> Layout:
     """A lake that took in the postings in two batches, each merged and published by a
     run of its own."""
     layout = Layout(f"{scratch_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}")
-    rows = fixtures.table(spark, sf_dir, "lineitem")
+    rows = fixtures.spread(spark, sf_dir, "lineitem")
     for k in (0, 1):
         tables.append_bronze(fixtures.postings(rows.where(f"l_linenumber % 2 = {k}")), layout, f"batch-{k}")
         flow.update(spark, layout, gate_key=("source_name", "source_id"))
