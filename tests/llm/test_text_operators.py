@@ -288,6 +288,42 @@ def test_base_scores_match_plain_counting(spark):
             assert got[d]["score"] < 0
 
 
+def plain_scores(rows, training, model):
+    """``doc_id -> score``: the prior's values, and plain counts of all n-grams."""
+    from collections import Counter
+
+    lower = {i: i + 32 for i in range(65, 91)}
+    split = {d: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)), None] for d, t in rows}
+    grams = {d: list(zip([0, 1, *ws], [1, *ws], ws)) for d, ws in split.items()}
+    c, words = Counter(g for d in training for g in grams[d]), Counter(w for d in training for w in split[d])
+    total, follow = Counter(g[:2] for d in training for g in grams[d]), Counter(g[:2] for g in c)
+    out, tokens = {}, maxent.Tokens()
+    for d, t in rows:
+        h, cls, _ = tokens(pa.array([t or ""]))
+        prior = 10 ** model.log_prior(tokens, h, cls) * [words[w] + 0.5 for w in split[d]]
+        p = [(max(c[g] - 0.75, 0) + 0.75 * follow[g[:2]] * q) / total[g[:2]] if total[g[:2]] else q for g, q in zip(grams[d], prior)]
+        out[d] = float(np.log10(p).sum())
+    return out
+
+
+def test_every_ngram_has_a_weight(spark, monkeypatch):
+    unseen = [f"w{i}" for i in range(3000)]
+    R.shuffle(unseen)
+    passage = " ".join(unseen[:60])
+    rows = [(i, prose(R.randint(0, 60))) for i in range(60)] + [(80 + i, " ".join(R.choices(unseen, k=80))) for i in range(10)]
+    rows += [(200, passage), (202, f"alpha {passage} iota"), (201, passage), (206, " ".join(reversed(passage.split()))), (211, None), (212, "")]
+    marked, training = maxent.held_out(frame(spark, rows), F.col("doc_id") % 5 == 1)
+    learned = [d for d, _ in rows if d % 5 != 1]
+    for head, bucket_bytes in ((1 << 19, 16 << 20), (8, 1500)):  # counts broadcast or joined; one bucket or some
+        monkeypatch.setattr(maxent, "BUCKET_BYTES", bucket_bytes)
+        model, counts = maxent.fit(training, head=head)
+        want = plain_scores(rows, learned, model)
+        for mark in (None, ~F.col("held_out")):  # training texts read again, or marked among the documents
+            got = {r["doc_id"]: r["score"] for r in maxent.score(marked.repartition(3, "doc_id"), model, counts, keep=["doc_id"], learned=mark).collect()}
+            assert got == {d: pytest.approx(s, rel=1e-4, abs=1e-3) for d, s in want.items()}
+            assert got[201] > got[206] + 60  # held out; the same words, those of a passage learned twice or none
+
+
 def test_class_probabilities_are_normalised_and_learn():
     tokens, trainer = maxent.Tokens(), maxent.Trainer()
     text = pa.array(["ax by " * 400, "cz dw " * 400])
