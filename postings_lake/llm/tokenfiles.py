@@ -26,7 +26,8 @@ that sees all.
 The tokenizers library encodes pieces of the texts, each once a task while remembered
 (``CACHE_BYTES``). Texts are cut at spaces, tabs and line feeds; what stands between is
 cut further by the tokenizer's own pattern where it holds only printable ASCII and common
-Latin letters, else it is a piece. That equals the library's result on the whole text: its
+Latin letters, else it is a piece; a text of such characters alone is cut by the pattern
+at once. That equals the library's result on the whole text: its
 words are encoded one by one, never reach across white space, and neither do normal forms.
 
 Defined cases: a null text is empty and holds the end id only; repeated documents are
@@ -69,7 +70,8 @@ FILES_SUMMED = 1024  # partitions of files whose running sums one group makes
 # points whose class, normal form and lower case are the same in every Unicode version.
 LOWER = "a-z\xdf-\xf6\xf8-\xff\u0101\u0103\u0105\u0107\u0111\u0119\u011b\u0131\u0142\u0144\u0151\u0153\u0159\u015b\u0161\u0171\u017a\u017c\u017e"
 PLAIN = f"[\r\x21-\x7e{LOWER}\xc0-\xd6\xd8-\xde]*"
-WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^\t\n\r {LOWER}0-9]+")
+PLAIN_TEXT = re.compile(f"[\t\n {PLAIN[1:]}").fullmatch
+WORDS = re.compile(f"[{LOWER}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t\n\r {LOWER}0-9]+")
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"  # fixed value: as the tokenizer file says
 
 
@@ -241,29 +243,34 @@ class WordIds:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # whether an id ends a word
         self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        added = "|".join(re.escape(t["content"]) for t in spec.get("added_tokens", []))
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        added = "|".join(map(re.escape, self.added))
         self.plain = re.compile(f"(?!.*(?:{added})){PLAIN}" if added else PLAIN, re.DOTALL).fullmatch
 
+    def found(self, text: str) -> list[str] | None:
+        """The pieces of a text that is plain from end to end, else None."""
+        if PLAIN_TEXT(text) and not any(t in text for t in self.added):
+            return WORDS.findall(text.lower())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids."""
         if self.held + ENTRY_BYTES * (len(self.words) + len(self.pieces)) > CACHE_BYTES:  # forget all, and learn anew
             self.words, self.pieces, self.held = {"": b""}, {}, 0
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.words))
+        found = [self.found(t) for t in texts]
+        self.learn_pieces(set().union(*filter(None, found)))
+        split = [t.replace("\n", " ").replace("\t", " ").split(" ") if f is None else f for t, f in zip(texts, found)]
+        new = list(set().union(*(w for w, f in zip(split, found) if f is None)).difference(self.words))
         for lo in range(0, len(new), 2048):
             self.learn(new[lo:lo + 2048])
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+        word, piece = self.words.__getitem__, self.pieces.__getitem__
+        return [b"".join(map(word if f is None else piece, words)) for words, f in zip(split, found)]
 
     def learn(self, words: list[str]) -> None:
         plain, odd = [], []
         for w in words:
             (plain if self.plain(w) else odd).append(w)
         found = [WORDS.findall(w.lower()) for w in plain]
-        new = list({p for pieces in found for p in pieces}.difference(self.pieces))
-        for lo in range(0, len(new), 64):  # one word each: its last id says where it ends
-            some = new[lo:lo + 64]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            self._keep(self.pieces, some, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
+        self.learn_pieces({p for pieces in found for p in pieces})
         for w, pieces in zip(plain, found):
             ids = self.words[w] = b"".join(map(self.pieces.__getitem__, pieces))
             self.held += len(w) + len(ids)
@@ -272,6 +279,13 @@ class WordIds:
             word = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
             self._keep(self.words, odd, np.array(coded.ids, "<u4"), np.searchsorted(word, np.arange(len(odd) + 1)))
 
+    def learn_pieces(self, pieces: set[str]) -> None:
+        new = list(pieces.difference(self.pieces))
+        for lo in range(0, len(new), 64):  # one word each: its last id says where it ends
+            some = new[lo:lo + 64]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            self._keep(self.pieces, some, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
+
     def _keep(self, into: dict, texts: list[str], ids: np.ndarray, cut: np.ndarray) -> None:
         if len(cut) != len(texts) + 1:
             raise ValueError("the tokenizer does not end each word with its suffix")

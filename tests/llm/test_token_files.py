@@ -97,6 +97,18 @@ def test_pieces_equal_the_library_on_whole_texts(tokenizer_file, library):
     assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_plain_texts_are_cut_at_once(tokenizer_file, library):
+    with open(tokenizer_file, encoding="utf-8") as f:
+        known = tokenfiles.WordIds(f.read())
+    pool = [*"abstTrevmldD09'.,\n\t\r Éł<>|", "'LL", "'re", "'", " ", "Straße", "<|ENDOFTEXT|>"]
+    plain = ["".join(R.choices(pool, k=R.randint(0, 60))) for _ in range(400)]
+    odd = [t + R.choice(["<|endoftext|>", " Σσς", "\x0b", "中"]) for t in plain[:200]]
+    coded = known.encode(plain)
+    assert list(known.words) == [""]  # each piece once, whatever its case and what stands beside it
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded + known.encode(odd + plain)] == [
+        library.encode(t, add_special_tokens=False).ids for t in plain + odd + plain]
+
+
 def test_pieces_are_forgotten_and_learnt_again(tokenizer_file, monkeypatch):
     monkeypatch.setattr(tokenfiles, "CACHE_BYTES", 500)
     with open(tokenizer_file, encoding="utf-8") as f:
