@@ -448,9 +448,9 @@ def score(documents: DataFrame, model: Model, counts: DataFrame, keep: list[str]
         asking = asking.unionByName(model.training.select("text", F.lit(None).cast("long").alias("row_key"), F.lit(True).alias("learned")))
     buckets = max(1, -(-text_bytes(asking) // BUCKET_BYTES))
     to_send, to_answer = StructType.fromDDL(SENT), StructType.fromDDL(ANSWERED)
-    sent = asking.mapInArrow(_sender(shared, buckets, to_send), to_send).repartition("bucket").sortWithinPartitions("bucket")
+    sent = asking.mapInArrow(_sender(shared, buckets, to_send), to_send).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     answers = stored(sent.mapInArrow(lambda b: _answered(b, to_answer), to_answer), "token-answers")
-    summed = answers.select("row0", "docs", "doc", "part").repartition("row0").sortWithinPartitions("row0").mapInArrow(_summed, "row_key long, __part double")
+    summed = answers.select("row0", "docs", "doc", "part").repartition(buckets, "row0").sortWithinPartitions("row0").mapInArrow(_summed, "row_key long, __part double")
     rest = answers.select(F.explode(F.arrays_zip("row_key", "h", "times", "seen", "unseen")).alias("t")).select("t.*")
     c = F.coalesce("c", F.lit(0)) + 0.5
     found = rest.join(counts.select("h", "c"), "h", "left").groupBy("row_key").agg(
