@@ -53,10 +53,7 @@ from postings_lake.llm.textarrays import blocks
 PACKINGS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE, PAYLOAD = 0, 60
 _COUNTS, _WIDTHS = (np.array(c) for c in zip(*PACKINGS))
-WINDOW, NEAR = 60, np.arange(8)  # ids that a word may hold; of these, those looked at first
-_FIRST_NEAR = int(np.argmax(_COUNTS <= len(NEAR))) + 1  # selector of the first count among them
-_NEAR_COUNTS, _NEAR_WIDTHS = _COUNTS[_FIRST_NEAR - 1:], _WIDTHS[_FIRST_NEAR - 1:]
-_FAR_BITS = int(_WIDTHS[_FIRST_NEAR - 2])  # more bits than these rule out every larger count
+WINDOW = 60  # ids that a word may hold
 MAGIC = b"S8BIDS01"
 BLOCK = 4096
 AT_ONCE = 256  # blocks packed or unpacked at a time
@@ -75,45 +72,60 @@ WORDS = re.compile(f"[{LOWER}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t\n\r {LOWER}0-9]
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"  # fixed value: as the tokenizer file says
 
 
+def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), ids, "right").astype(np.int8)
+
+
+_SHORT_LENGTHS = _bit_lengths(np.arange(1 << 16, dtype=np.uint64))
+
+
 def bit_lengths(ids: np.ndarray) -> np.ndarray:
     """Bits that each uint64 needs (0 for 0)."""
-    return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), ids, "right").astype(np.int8)
+    return _SHORT_LENGTHS[ids] if ids.size and ids.max() < len(_SHORT_LENGTHS) else _bit_lengths(ids)
+
+
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """Selector of the word that would start at each place (beyond the end lie zeros)."""
+    out, most, span = np.full(len(bits), ESCAPE, np.int8), bits.copy(), 1
+    for s in range(len(PACKINGS), 0, -1):  # counts ascending: the largest that fits stays
+        count, width = PACKINGS[s - 1]
+        while span < count:  # the most bits of the next ``span`` ids
+            more = min(span, count - span)
+            np.maximum(most[:-more], most[more:], out=most[:-more])
+            span += more
+        out[most <= width] = s
+    return out
 
 
 def _pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of some whole blocks (the last may be short) and each block's first word.
 
-    All blocks go forward together, one word at a step; what lies beyond a block's end
-    counts as zeros, which fit any word.
+    The word that would start at each id is found for all ids at once; then all blocks go
+    forward together, from word to word. What lies beyond a block's end counts as zeros, which fit any word.
     """
     n, n_blocks = len(ids), -(-len(ids) // BLOCK)
     width = BLOCK + WINDOW
     value = np.zeros((n_blocks, width), np.uint64)
     value[:, :BLOCK].flat[:n] = ids  # row by row
-    bits, value = bit_lengths(value).ravel(), value.ravel()
-    end = np.arange(n_blocks) * width + BLOCK
-    end[-1] = (n_blocks - 1) * width + n - (n_blocks - 1) * BLOCK
-    at, starts, selectors, steps = np.arange(n_blocks) * width, [], [], []
+    value = value.ravel()
+    bits = bit_lengths(value)
+    selectors = _selectors(bits)
+    steps = np.append(0, _COUNTS)[selectors]
+    escapes = np.flatnonzero(selectors == ESCAPE)  # ids of more than 60 bits: all that follow each other
+    if len(escapes):  # zeros end the last of each block
+        short = np.flatnonzero(bits <= PAYLOAD)
+        steps[escapes] = short[np.searchsorted(short, escapes)] - escapes
+    first = np.arange(n_blocks) * width
+    at, end, starts = first, first + BLOCK, np.zeros(len(value), bool)
+    end[-1] = first[-1] + n - (n_blocks - 1) * BLOCK
     while len(at):
-        most = np.maximum.accumulate(bits[at[:, None] + NEAR], axis=1)
-        fits = most[:, _NEAR_COUNTS - 1] <= _NEAR_WIDTHS
-        selector = np.where(fits.any(1), _FIRST_NEAR + fits.argmax(1), ESCAPE)
-        far = np.flatnonzero(most[:, -1] <= _FAR_BITS)  # a larger count may fit
-        if len(far):
-            most = np.maximum.accumulate(bits[at[far][:, None] + np.arange(WINDOW)], axis=1)
-            selector[far] = 1 + (most[:, _COUNTS - 1] <= _WIDTHS).argmax(1)
-        step = np.append(0, _COUNTS)[selector]
-        for i in np.flatnonzero(selector == ESCAPE):  # ids of more than 60 bits: all that follow each other
-            after = np.flatnonzero(bits[at[i]:end[at[i] // width]] <= PAYLOAD)
-            step[i] = after[0] if len(after) else end[at[i] // width] - at[i]
-        starts.append(at)
-        selectors.append(selector)
-        steps.append(step)
-        on = at + step < end[at // width]
-        at = (at + step)[on]
-    starts, selector, step = (np.concatenate(x) for x in (starts, selectors, steps))
-    order = np.argsort(starts)
-    starts, selector, step = starts[order], selector[order], step[order]
+        starts[at] = True
+        at = at + steps[at]
+        on = at < end
+        if not on.all():
+            at, end = at[on], end[on]
+    starts = np.flatnonzero(starts)
+    selector, step = selectors[starts], steps[starts]
     size = np.where(selector == ESCAPE, 1 + step, 1)
     where = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
@@ -128,7 +140,7 @@ def _pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w, run = int(where[i]), int(step[i])
         words[w] = run
         words[w + 1:w + 1 + run] = value[starts[i]:starts[i] + run]
-    return words, where[np.searchsorted(starts, np.arange(n_blocks) * width)]
+    return words, where[np.searchsorted(starts, first)]
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

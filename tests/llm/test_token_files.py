@@ -54,6 +54,20 @@ def test_each_word_takes_the_largest_count_that_fits():
     assert tokenfiles.pack(ids)[0].tolist() == want
 
 
+def test_selectors_are_found_for_all_places_at_once():
+    """Also where the ids end, and those of more than 60 bits."""
+    ids = np.array(R.choices([0, 1, 5, 90, 4000, 49_000, 1 << 25, 1 << 40, 1 << 61], [60, 60, 9, 9, 9, 9, 1, 1, 1], k=2000), np.uint64)
+    want = [next((s for s, (count, width) in enumerate(tokenfiles.PACKINGS, 1) if max(map(int, ids[at:at + count])) < 1 << width), 0)
+            for at in range(len(ids))]
+    assert tokenfiles._selectors(tokenfiles.bit_lengths(ids)).tolist() == want and 0 in want and 1 in want
+
+
+def test_bit_lengths():
+    ids = [0, 1, 2, 3, 49_000, 2**16 - 1]
+    for some in (ids, [*ids, 2**16, 2**53 - 1, 2**53, 2**63, 2**64 - 1], []):
+        assert tokenfiles.bit_lengths(np.array(some, np.uint64)).tolist() == [i.bit_length() for i in some]
+
+
 def test_records_parse_and_refuse_other_bytes():
     ids = np.array(R.choices(range(50_000), k=10_000), np.uint64)
     raw = tokenfiles.to_record(3, 1, [None, 4, 9], [5000, 0, 5000], ids) + b"\n"
