@@ -26,8 +26,8 @@ that sees all.
 The tokenizers library encodes pieces of the texts, each once a task while remembered
 (``CACHE_BYTES``). Texts are cut at spaces, tabs and line feeds; what stands between is
 cut further by the tokenizer's own pattern where it holds only printable ASCII and common
-Latin letters, else it is a piece; a text of such characters alone is cut by the pattern
-at once. That equals the library's result on the whole text: its
+Latin letters, else it is a piece; texts of such characters alone are cut by the pattern
+all at once, as bytes. That equals the library's result on the whole text: its
 words are encoded one by one, never reach across white space, and neither do normal forms.
 
 Defined cases: a null text is empty and holds the end id only; repeated documents are
@@ -60,6 +60,7 @@ AT_ONCE = 256  # blocks packed or unpacked at a time
 FILE_IDS = 2_000_000
 PARTITION_BYTES = 64 << 20  # text bytes a range of ids holds
 CACHE_BYTES = 160 << 20
+ENCODED_BYTES = 4 << 20  # text bytes encoded at a time
 ENTRY_BYTES = 150  # what a remembered piece takes beside its text and ids
 FILES_SUMMED = 1024  # partitions of files whose running sums one group makes
 
@@ -68,7 +69,12 @@ FILES_SUMMED = 1024  # partitions of files whose running sums one group makes
 LOWER = "a-z\xdf-\xf6\xf8-\xff\u0101\u0103\u0105\u0107\u0111\u0119\u011b\u0131\u0142\u0144\u0151\u0153\u0159\u015b\u0161\u0171\u017a\u017c\u017e"
 PLAIN = f"[\r\x21-\x7e{LOWER}\xc0-\xd6\xd8-\xde]*"
 PLAIN_TEXT = re.compile(f"[\t\n {PLAIN[1:]}").fullmatch
+WHITE, LETTER, DIGIT, OTHER = range(4)
+BYTE_CLASS = np.full(256, OTHER, np.int8)  # of the bytes of plain lower-case text
+BYTE_CLASS[list(b"\t\n\r ")], BYTE_CLASS[list(b"0123456789")] = WHITE, DIGIT
+BYTE_CLASS[97:123] = BYTE_CLASS[128:] = LETTER
 WORDS = re.compile(f"[{LOWER}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t\n\r {LOWER}0-9]+")
+UNCHANGED = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"})  # leave pieces as they are
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"  # fixed value: as the tokenizer file says
 
 
@@ -86,15 +92,14 @@ def bit_lengths(ids: np.ndarray) -> np.ndarray:
 
 def _selectors(bits: np.ndarray) -> np.ndarray:
     """Selector of the word that would start at each place (beyond the end lie zeros)."""
-    out, most, span = np.full(len(bits), ESCAPE, np.int8), bits.copy(), 1
-    for s in range(len(PACKINGS), 0, -1):  # counts ascending: the largest that fits stays
-        count, width = PACKINGS[s - 1]
+    fitting, most, span = np.zeros(len(bits), np.int8), bits.copy(), 1
+    for count, width in reversed(PACKINGS):  # counts ascending: where one fits, so do all before it
         while span < count:  # the most bits of the next ``span`` ids
             more = min(span, count - span)
             np.maximum(most[:-more], most[more:], out=most[:-more])
             span += more
-        out[most <= width] = s
-    return out
+        fitting += most <= width
+    return np.append(ESCAPE, np.arange(len(PACKINGS), 0, -1)).astype(np.int8)[fitting]
 
 
 def _pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +111,9 @@ def _pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, n_blocks = len(ids), -(-len(ids) // BLOCK)
     width = BLOCK + WINDOW
     value = np.zeros((n_blocks, width), np.uint64)
-    value[:, :BLOCK].flat[:n] = ids  # row by row
+    whole = n // BLOCK
+    value[:whole, :BLOCK] = ids[:whole * BLOCK].reshape(whole, BLOCK)
+    value[whole:, :n - whole * BLOCK] = ids[whole * BLOCK:]  # the last row, if short
     value = value.ravel()
     bits = bit_lengths(value)
     selectors = _selectors(bits)
@@ -235,6 +242,27 @@ class Record:
         return unpack(self.words, self.firsts, self.n_ids, b, -(-hi // BLOCK))[lo - b * BLOCK:hi - b * BLOCK]
 
 
+def cut_plain(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of plain lower-case texts, as ``WORDS`` finds them: their bytes one after the
+    other, where each begins, and the first piece of each text (and behind the last)."""
+    data = np.frombuffer(b"\n".join([*texts, b"\n\n"]), np.uint8)
+    kind = BYTE_CLASS[data]
+    starts = kind == DIGIT
+    starts[0] |= kind[0] != WHITE
+    starts[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] != WHITE)
+    quote = np.flatnonzero(data == ord("'"))
+    quote = quote[starts[quote] & (kind[quote + 1] == LETTER)]  # alone before a letter
+    one, two = data[quote + 1], data[quote + 1].astype(np.int64) << 8 | data[quote + 2]
+    long = np.isin(two, [int.from_bytes(w) for w in (b"re", b"ve", b"ll")])
+    short = np.isin(one, list(b"stmd"))
+    for some, length in ((quote[short], 2), (quote[long], 3)):
+        starts[some + 1] = False
+        starts[some + length] |= kind[some + length] == LETTER
+    inside = kind != WHITE
+    text = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return data[inside], np.flatnonzero(starts[inside]), np.searchsorted(np.flatnonzero(starts), text)
+
+
 class WordIds:
     """``words``: what stands between spaces -> its ids (little-endian unsigned 32-bit), by
     the tokenizers library; ``pieces``: the same of the words within that its pattern finds."""
@@ -250,8 +278,16 @@ class WordIds:
             raise ValueError("only tokenizers that lower-case, drop white space by this pattern and mark the ends of words are supported")
         self.library, self.pieces, self.held = Tokenizer.from_str(tokenizer), {}, 0
         self.words: dict[str, bytes] = {"": b""}
-        self.library.no_truncation()
-        self.library.no_padding()
+        # Pieces are cut and lower-case already: where the normal forms leave them as they are, only the rest is done.
+        self.library_of_pieces = self.library
+        if all(n in UNCHANGED for n in spec["normalizer"]["normalizers"]):
+            rest = spec["pre_tokenizer"]["pretokenizers"][1:]
+            lean = {"normalizer": None, "added_tokens": [],
+                    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *rest]}}
+            self.library_of_pieces = Tokenizer.from_str(json.dumps(spec | lean))
+        for library in (self.library, self.library_of_pieces):
+            library.no_truncation()
+            library.no_padding()
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # whether an id ends a word
         self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
@@ -259,30 +295,48 @@ class WordIds:
         added = "|".join(map(re.escape, self.added))
         self.plain = re.compile(f"(?!.*(?:{added})){PLAIN}" if added else PLAIN, re.DOTALL).fullmatch
 
-    def found(self, text: str) -> list[str] | None:
-        """The pieces of a text that is plain from end to end, else None."""
-        if PLAIN_TEXT(text) and not any(t in text for t in self.added):
-            return WORDS.findall(text.lower())
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids."""
         if self.held + ENTRY_BYTES * (len(self.words) + len(self.pieces)) > CACHE_BYTES:  # forget all, and learn anew
             self.words, self.pieces, self.held = {"": b""}, {}, 0
-        found = [self.found(t) for t in texts]
-        self.learn_pieces(set().union(*filter(None, found)))
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") if f is None else f for t, f in zip(texts, found)]
-        new = list(set().union(*(w for w, f in zip(split, found) if f is None)).difference(self.words))
+        plain = [PLAIN_TEXT(t) is not None and not any(a in t for a in self.added) for t in texts]
+        coded = iter(self.encode_plain([t for t, p in zip(texts, plain) if p]))
+        split = [None if p else t.replace("\n", " ").replace("\t", " ").split(" ") for t, p in zip(texts, plain)]
+        new = list(set().union(*filter(None, split)).difference(self.words))
         for lo in range(0, len(new), 2048):
             self.learn(new[lo:lo + 2048])
-        word, piece = self.words.__getitem__, self.pieces.__getitem__
-        return [b"".join(map(word if f is None else piece, words)) for words, f in zip(split, found)]
+        word = self.words.__getitem__
+        return [next(coded) if words is None else b"".join(map(word, words)) for words in split]
+
+    def encode_plain(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are plain from end to end."""
+        import pyarrow as pa
+
+        raw = [t.lower().encode() for t in texts]  # of as many bytes as before
+        data, at, first = cut_plain(raw)
+        if not len(at):
+            return [b""] * len(texts)
+        ends = np.append(at, len(data))
+        found = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+        pieces, place = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+        known = list(map(self.pieces.get, pieces))
+        new = [k for k, ids in enumerate(known) if ids is None]
+        self.learn_pieces([pieces[k] for k in new])
+        for k in new:
+            known[k] = self.pieces[pieces[k]]
+        flat, size = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begin, count = np.cumsum(size) - size, size[place]
+        after = np.append(0, np.cumsum(count))  # ids before each piece
+        ids = flat[np.repeat(begin[place] - after[:-1], count) + np.arange(after[-1])].tobytes()
+        edges = (4 * after[first]).tolist()
+        return [ids[a:b] for a, b in zip(edges, edges[1:])]
 
     def learn(self, words: list[str]) -> None:
         plain, odd = [], []
         for w in words:
             (plain if self.plain(w) else odd).append(w)
         found = [WORDS.findall(w.lower()) for w in plain]
-        self.learn_pieces({p for pieces in found for p in pieces})
+        self.learn_pieces(list({p for pieces in found for p in pieces}.difference(self.pieces)))
         for w, pieces in zip(plain, found):
             ids = self.words[w] = b"".join(map(self.pieces.__getitem__, pieces))
             self.held += len(w) + len(ids)
@@ -291,11 +345,11 @@ class WordIds:
             word = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
             self._keep(self.words, odd, np.array(coded.ids, "<u4"), np.searchsorted(word, np.arange(len(odd) + 1)))
 
-    def learn_pieces(self, pieces: set[str]) -> None:
-        new = list(pieces.difference(self.pieces))
+    def learn_pieces(self, new: list[str]) -> None:
+        """Remember pieces not known yet, each named once."""
         for lo in range(0, len(new), 64):  # one word each: its last id says where it ends
             some = new[lo:lo + 64]
-            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.library_of_pieces.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             self._keep(self.pieces, some, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1))
 
     def _keep(self, into: dict, texts: list[str], ids: np.ndarray, cut: np.ndarray) -> None:
@@ -321,7 +375,7 @@ def _written(batches, tokenizer: str, end_id: int, file_ids: int):
         return pa.RecordBatch.from_arrays([pa.array([to_record(partition, number, docs, sizes, ids)], pa.binary())], names=["record"])
 
     for batch in batches:
-        for part in blocks(batch, 2 << 20):
+        for part in blocks(batch, ENCODED_BYTES):
             coded = known.encode([t or "" for t in part.column("text").to_pylist()])
             for doc, ids in zip(part.column("doc_id").to_pylist(), coded):
                 docs.append(doc)

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -123,6 +124,36 @@ def test_plain_texts_are_cut_at_once(tokenizer_file, library):
         library.encode(t, add_special_tokens=False).ids for t in plain + odd + plain]
 
 
+def test_plain_texts_are_cut_as_bytes_all_at_once(tokenizer_file, library, monkeypatch):
+    """No text is put to the pattern; the pieces are those that it finds."""
+    pool = [*"abstrevmldz09'.,!\n\t\r éß<>|", "'ll", "'re", "'ve", "'"]
+    texts = ["".join(R.choices(pool, k=R.randint(0, 12))) for _ in range(4000)]
+    for k in range(0, len(texts), 7):
+        some = texts[k:k + R.randint(0, 7)]
+        data, at, first = tokenfiles.cut_plain([t.encode() for t in some])
+        edges, want = [*at.tolist(), len(data)], [tokenfiles.WORDS.findall(t) for t in some]
+        assert [bytes(data[a:b]).decode() for a, b in zip(edges, edges[1:])] == [p for pieces in want for p in pieces]
+        assert first.tolist() == np.cumsum([0, *map(len, want)]).tolist()
+    monkeypatch.setattr(tokenfiles, "WORDS", None)
+    with open(tokenizer_file, encoding="utf-8") as f:
+        known = tokenfiles.WordIds(f.read())
+    mixed = texts + [t.upper() for t in texts if "ß" not in t]
+    assert known.encode([" ", "\n"]) == [b"", b""] and known.encode([]) == []
+    assert [np.frombuffer(c, "<u4").tolist() for c in known.encode(mixed)] == [e.ids for e in library.encode_batch(mixed, add_special_tokens=False)]
+
+
+def test_pieces_pass_through_normal_forms_that_change_them(tokenizer_file):
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"]["normalizers"] = [{"type": "NFD"}, {"type": "StripAccents"}, *spec["normalizer"]["normalizers"][1:]]
+    texts = ["Été à la plage", "deja", "déjà it's"]
+    library = Tokenizer.from_str(json.dumps(spec))
+    assert [np.frombuffer(c, "<u4").tolist() for c in tokenfiles.WordIds(json.dumps(spec)).encode(texts)] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_pieces_are_forgotten_and_learnt_again(tokenizer_file, monkeypatch):
     monkeypatch.setattr(tokenfiles, "CACHE_BYTES", 500)
     with open(tokenizer_file, encoding="utf-8") as f:
