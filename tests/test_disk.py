@@ -114,3 +114,14 @@ def test_bronze_stores_no_digests_and_rows_that_left_are_dropped(spark, workdir)
     assert all(spark.read.parquet(d).schema == BRONZE_SCHEMA for d in glob.glob(f"{lay.bronze}/*"))
     assert not [f for f in glob.glob(f"{lay.silver}/**/part-*", recursive=True) if re.search("weight=-1", f)]
     assert commits.numbers(spark, lay.snapshots) == [1, 2]
+
+
+def test_files_are_compressed_well(spark, workdir):
+    import pyarrow.parquet as pq
+
+    df = bronze(spark, range(2000), "2026-06-01T00:00:0")
+    tables.append_bronze(df, Layout(workdir))
+    tables.replace_table(df, f"{workdir}/plain", "json")  # other formats as Spark writes them
+    (f, *_) = glob.glob(f"{workdir}/bronze/jobs/*/part-*.parquet")
+    assert pq.ParquetFile(f).metadata.row_group(0).column(1).compression == "ZSTD"
+    assert spark.read.json(f"{workdir}/plain").count() == tables.read_bronze(spark, Layout(workdir)).count() == 6000
